@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.operators.quantiles import exact_percentiles
-
 NO_COMPETITOR_DISTANCE = 100_000.0
 BINARY_COLUMNS = ("Open", "Promo", "SchoolHoliday")
 COMPETITION_SINCE = ("CompetitionOpenSinceMonth", "CompetitionOpenSinceYear")
@@ -94,22 +92,18 @@ def median_candidates(df: DataFrame) -> list[str]:
 
 
 def fill_numeric_median(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per-store median, 0 for a store without any value; the global median when there is only one store.
+    """Per-store median, 0 for a store without any value.
 
-    The store window holds at most one row per day once (Store, Date) is unique, so it stays small.
+    With a single store this is the global median as well. The store window holds at most one row per day once
+    (Store, Date) is unique, so it stays small.
     """
     columns = list(median_candidates(df) if columns is None else columns)
-    if not columns:
-        return df
-    one_store = df.agg((F.min("Store") == F.max("Store")).alias("one")).scalar()
     per_store = Window.partitionBy("Store")
     filled = {}
     for c in columns:
-        store_median = F.percentile(F.col(c).cast("double"), F.lit(0.5)).over(per_store)
-        global_median = exact_percentiles(df, F.col(c), (0.5,)).select(F.col("q")[0]).scalar()
-        fallback = F.when(F.coalesce(one_store, F.lit(False)), global_median).otherwise(store_median)
-        filled[c] = F.coalesce(F.col(c).cast("double"), fallback, F.lit(0.0))
-    return df.withColumns(filled)
+        value = F.col(c).cast("double")
+        filled[c] = F.coalesce(value, F.percentile(value, F.lit(0.5)).over(per_store), F.lit(0.0))
+    return df.withColumns(filled) if filled else df
 
 
 def impute(df: DataFrame) -> DataFrame:
