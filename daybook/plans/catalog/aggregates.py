@@ -294,9 +294,13 @@ _CORR = ("Store", "Sales", "Customers", "Promo", "DayOfWeek", "SchoolHoliday")
 _NUMERIC = "numeric as (select {} from panel)".format(", ".join(f'cast("{c}" as double) as "{c}"' for c in _CORR))
 
 
-@query("correlation_matrix", ctes(PANEL, _NUMERIC) + " union all ".join(
-    f"select '{a}' as a, '{b}' as b, " + (r("1.0", 6) if a == b else r(f'corr("{a}", "{b}")', 6)) + " as corr from numeric" + (" limit 1" if False else "")
-    if a != b else f"select '{a}' as a, '{b}' as b, {r('1.0', 6)} as corr" for a in _CORR for b in _CORR))
+def _cell(a: str, b: str) -> str:
+    if a == b:
+        return f"select '{a}' as a, '{b}' as b, {r('1.0', 6)} as corr"
+    return f"select '{a}' as a, '{b}' as b, {r(f'corr(\"{a}\", \"{b}\")', 6)} as corr from numeric"
+
+
+@query("correlation_matrix", ctes(PANEL, _NUMERIC) + " union all ".join(_cell(a, b) for a in _CORR for b in _CORR))
 def correlation_matrix(spark, sf_dir):
     return plain(eda.correlation_matrix(_panel(spark, sf_dir), _CORR), 6)
 

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.config import DEFAULT_CONFIG, EngineConfig
-from daybook.operators import cleaning, evaluation, history, imputation, panel
+from daybook.operators import cleaning, evaluation, history, panel
 from daybook.plans.features import align_features, build_features, feature_names
+from daybook.session import scratch_path
+from daybook.sources.files import sink_stage
 from daybook.sources.tables import Warehouse
 
 
@@ -71,9 +73,13 @@ def predict_job(
 ) -> tuple[str, DataFrame]:
     """Clean -> upsert the history -> features with lags from it -> score -> errors -> store the run.
 
-    `score` adds the column PredictedSales. Returns the run id and the stored rows.
+    `score` adds the column PredictedSales. Returns the run id and the stored rows. The cleaned batch is used
+    several times, so it is staged in the shared folder, which also cuts the lineage for lost executors.
     """
-    cleaned = clean_job(merged, order_by, check_fractions=False)
+    spark = merged.sparkSession
+    staged = scratch_path(spark, "cleaned")
+    sink_stage(clean_job(merged, order_by, check_fractions=False), staged)
+    cleaned = spark.read.parquet(staged)
     warehouse.upsert_history(cleaned)
     features = scoring_features(cleaned, warehouse.load_history(), config)
     scored = score(align_features(features, model_features))

@@ -1,19 +1,20 @@
 """Durable tables as partitioned Parquet folders: sales_history, predictions, pipeline_runs, model_metrics.
 
 A replace (upsert, retention) is done in two steps that survive a lost driver as well as lost executors: the new
-content of the touched partitions is written to a side folder first, then copied over them. Repeating the second
-step gives the same table, and `recover` does that for a side folder that was completed but not applied.
+content of the touched months is written to a side folder first, then the month folders are moved into the table.
+Repeating the second step gives the same table; `recover` does so for a side folder that was completed but not
+applied.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.operators import history as history_ops
 from daybook.operators import runs as run_ops
@@ -22,11 +23,18 @@ from daybook.sources.files import path_exists
 
 SCHEMA_VERSION = 1
 MONTH = "month"
+_MONTH_LIST = "part string, filled boolean"
 PARTITIONS: dict[str, str | None] = {
     "sales_history": MONTH, "predictions": "run_id", "pipeline_runs": None, "model_metrics": None,
 }
 
 
+def stored_schema(table: str) -> T.StructType:
+    """The table's schema with its derived partition column, which only the folder names hold."""
+    extra = [T.StructField(MONTH, T.StringType())] if PARTITIONS[table] == MONTH else []
+    return T.StructType([*TABLES[table].fields, *extra])
+
+
 def to_table_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Projects the columns the frame has and renames them to the table's."""
     return df.select(*[F.col(a).alias(b) for a, b in mapping.items() if a in df.columns])
@@ -52,38 +60,44 @@ class Warehouse:
         schema = TABLES[table]
         if not path_exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
-        partition = PARTITIONS[table]
-        full = schema.add(MONTH, "string") if partition == MONTH and MONTH not in schema.names else schema
-        return self.spark.read.schema(full).parquet(self.path(table))
+        return self.spark.read.schema(stored_schema(table)).parquet(self.path(table))
 
     def _fs(self):
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm.org.apache.hadoop.fs.Path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _replace_partitions(self, table: str, content: DataFrame, partition: str, touched: Sequence[str]) -> None:
-        side = f"{self.root}/_pending/{table}-{uuid.uuid4().hex}"
-        # The rebalance hint lets adaptive execution cut a large month into several files of one size.
-        content.hint("rebalance", partition).write.partitionBy(partition).parquet(side)
-        # A touched partition that lost all its rows has nothing to be overwritten with: list it for removal.
-        self.spark.createDataFrame([(p,) for p in touched], "part string").coalesce(1).write.json(f"{side}-touched")
-        self._apply(table, side)
-
-    def _apply(self, table: str, side: str) -> None:
-        partition = PARTITIONS[table]
-        schema = TABLES[table].add(partition, "string") if partition == MONTH else TABLES[table]
-        staged = self.spark.read.schema(schema).parquet(side)
-        touched = {r["part"] for r in self.spark.read.schema("part string").json(f"{side}-touched").collect()}
-        present = {r[0] for r in staged.select(partition).distinct().collect()}
-        (
-            staged.hint("rebalance", partition).sortWithinPartitions(partition, *(c for c in ("store_id", "date") if c in staged.columns))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-            .parquet(self.path(table))
-        )
+    def _month_path(self, month: str) -> str:
+        return f"{self.path('sales_history')}/{MONTH}={month}"
+
+    def _replace_months(self, content: DataFrame, months: Sequence[str]) -> None:
+        """Rewrites whole months. `content` may read the table: it is written to the side folder first."""
+        side = f"{self.root}/_pending/{uuid.uuid4().hex}"
+        self._write_months(content, side)
+        path, fs = self._fs()
+        listed = [(m, bool(fs.exists(path(f"{side}/{MONTH}={m}")))) for m in months]
+        # The list marks `side` as complete and names the months that lost all their rows.
+        self.spark.createDataFrame(listed, _MONTH_LIST).coalesce(1).write.json(f"{side}-months")
+        self._apply(side)
+
+    def _write_months(self, content: DataFrame, path: str) -> None:
+        # The rebalance hint lets adaptive execution cut a large month into files of one size and join small ones.
+        content.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "store_id", "date").write.mode("append").partitionBy(MONTH).parquet(path)
+
+    def _apply(self, side: str) -> None:
+        """Moves finished month folders into the table. Repeatable: a month without a folder here was moved before."""
         path, fs = self._fs()
-        for gone in touched - present:
-            fs.delete(path(f"{self.path(table)}/{partition}={gone}"), True)
-        fs.delete(path(f"{side}-touched"), True)
+        marker = f"{side}-months"
+        for row in self.spark.read.schema(_MONTH_LIST).json(marker).collect():
+            target, fresh = path(self._month_path(row["part"])), path(f"{side}/{MONTH}={row['part']}")
+            if not row["filled"]:
+                fs.delete(target, True)
+            elif fs.exists(fresh):
+                fs.delete(target, True)
+                fs.mkdirs(target.getParent())
+                if not fs.rename(fresh, target):
+                    raise OSError(f"could not move {fresh} to {target}")
+        fs.delete(path(marker), True)
         fs.delete(path(side), True)
 
     def recover(self) -> int:
@@ -95,10 +109,10 @@ class Warehouse:
         applied = 0
         for status in fs.listStatus(path(pending)):
             side = str(status.getPath().toString())
-            if side.endswith("-touched"):
+            if side.endswith("-months"):
                 continue
-            if fs.exists(path(f"{side}-touched/_SUCCESS")):
-                self._apply(re.sub(r"-[0-9a-f]{32}$", "", side.rsplit("/", 1)[1]), side)
+            if fs.exists(path(f"{side}-months/_SUCCESS")):
+                self._apply(side)
                 applied += 1
             else:
                 fs.delete(path(side), True)
@@ -116,9 +130,10 @@ class Warehouse:
         months = sorted(m for m in months if m is not None)
         if not months:
             return 0
+        path, fs = self._fs()
+        known = [m for m in months if fs.exists(path(self._month_path(m)))]
         stored = self.read("sales_history")
-        if MONTH in stored.columns:
-            stored = stored.where(F.col(MONTH).isin(months))
+        stored = stored.where(F.col(MONTH).isin(known)) if known else self.spark.createDataFrame([], TABLES["sales_history"])
         merged = history_ops.merge_history(from_table_columns(stored, HISTORY_MAP), new, order_by)
         content = to_table_columns(merged, HISTORY_MAP).select(
             F.col("store_id").cast("int"),
@@ -131,7 +146,12 @@ class Warehouse:
             F.current_timestamp().alias("created_at"),
             F.date_format("date", "yyyy-MM").alias(MONTH),
         )
-        self._replace_partitions("sales_history", content, MONTH, months)
+        # Months the table does not have yet are appended; a writer lost half-way leaves rows that the repeated
+        # upsert replaces by key.
+        if known:
+            self._replace_months(content.where(F.col(MONTH).isin(known)), known)
+        if len(known) < len(months):
+            self._write_months(content.where(~F.col(MONTH).isin(known)) if known else content, self.path("sales_history"))
         return len(months)
 
     def delete_history_before(self, cutoff: date | str) -> int:
@@ -146,10 +166,10 @@ class Warehouse:
         path, fs = self._fs()
         for month, row in months.items():
             if row[1] == row[2]:
-                fs.delete(path(f"{self.path('sales_history')}/{MONTH}={month}"), True)
+                fs.delete(path(self._month_path(month)), True)
             elif row[1]:
                 kept = stored.where((F.col(MONTH) == month) & (F.col("date") >= day))
-                self._replace_partitions("sales_history", kept, MONTH, [month])
+                self._replace_months(kept, [month])
         return removed
 
     # --- predictions --------------------------------------------------------------------------------------
@@ -195,6 +215,13 @@ class Warehouse:
             "records_processed": fields.pop("records_processed", 0), **fields,
         })
 
+    def append_runs(self, runs: DataFrame) -> None:
+        """Bulk form of `log_run`: a frame with the table's columns, missing ones NULL."""
+        conform(runs, "pipeline_runs").write.mode("append").parquet(self.path("pipeline_runs"))
+
+    def append_metrics(self, rows: DataFrame) -> None:
+        conform(rows, "model_metrics").write.mode("append").parquet(self.path("model_metrics"))
+
     def pipeline_runs(self) -> DataFrame:
         return replace_run_log(self.read("pipeline_runs"))
 
@@ -222,36 +249,50 @@ class Warehouse:
             counts = row if counts is None else counts.unionByName(row)
         return counts
 
-    def backfill(self, history: DataFrame | None = None, predictions: DataFrame | None = None, metrics: DataFrame | None = None) -> None:
+    def backfill(
+        self, history: DataFrame | None = None, predictions: DataFrame | None = None, metrics: DataFrame | None = None,
+        metrics_order: str | None = None,
+    ) -> None:
         """One-off load of legacy frames; missing or empty ones are skipped."""
         if history is not None and not history.isEmpty():
             self.upsert_history(history)
         if predictions is not None and not predictions.isEmpty():
             self.append_predictions(predictions, "migration_initial")
         if metrics is not None and not metrics.isEmpty():
-            backfill_metrics(metrics).write.mode("append").parquet(self.path("model_metrics"))
+            self.append_metrics(backfill_metrics(metrics, metrics_order))
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """The table's columns in order and type; those the frame lacks are NULL."""
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[table].fields
+    ])
 
 
 def replace_run_log(entries: DataFrame, keys: Sequence[str] = ("run_id", "dag_name")) -> DataFrame:
     """Latest entry per key; run and step together, so the steps of one run do not hide each other."""
-    from pyspark.sql import Window
-
     newest = Window.partitionBy(*keys).orderBy(F.col("finished_at").desc_nulls_last(), F.col("started_at").desc())
     return entries.withColumn("__rn", F.row_number().over(newest)).where("__rn = 1").drop("__rn")
 
 
-def backfill_metrics(metrics: DataFrame, order_by: str | None = None) -> DataFrame:
-    """Legacy metric rows in table layout, versions numbered from 0. A metrics file has one row per training."""
-    from pyspark.sql import Window
+METRIC_MAP = {"mape": "MAPE", "rmse": "RMSE", "mae": "MAE", "r2_score": "R2"}
 
+
+def metric_rows(metrics: DataFrame) -> DataFrame:
+    """Evaluation rows in table layout; `best_params` may be a map or a struct and is stored as JSON."""
+    renamed = metrics.withColumnsRenamed({c: t for t, c in METRIC_MAP.items()})
+    if "best_params" in renamed.columns and not isinstance(renamed.schema["best_params"].dataType, T.StringType):
+        renamed = renamed.withColumn("best_params", F.to_json("best_params"))
+    return conform(renamed, "model_metrics")
+
+
+def backfill_metrics(metrics: DataFrame, order_by: str | None = None) -> DataFrame:
+    """Legacy metric rows in table layout, versions numbered from 0. There is one row per past training."""
     order = F.col(order_by) if order_by else F.monotonically_increasing_id()
     numbered = metrics.withColumn("__idx", F.row_number().over(Window.orderBy(order)) - 1)
-    names = {"mape": "MAPE", "rmse": "RMSE", "mae": "MAE", "r2_score": "R2", "n_test_samples": "Samples"}
-    values = {
-        "trained_at": F.current_timestamp(),
-        "model_version": F.concat(F.lit("migration_lgbm_"), F.col("__idx")),
-        **{t: F.col(c) for t, c in names.items() if c in metrics.columns},
-    }
-    return numbered.select(*[
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES["model_metrics"].fields
-    ])
+    return metric_rows(
+        numbered.withColumns({
+            "trained_at": F.current_timestamp(),
+            "model_version": F.concat(F.lit("migration_lgbm_"), F.col("__idx")),
+        }).withColumnsRenamed({"Samples": "n_test_samples"})
+    )
