@@ -1 +1,186 @@
-"""Queries."""
+"""End-to-end jobs."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from daybook.operators import joins, panel, runs
+from daybook.plans import jobs
+from daybook.plans.catalog.base import (
+    CLEANED, KEYS, MERGED, PANEL, STORE_DIM, ctes, fill_sql, i, lag_sql, plain, query, r, s,
+)
+from daybook.plans.catalog.tables import fresh_warehouse
+from daybook.plans.features import build_features, feature_names
+from daybook.session import scratch_path
+from daybook.sources import files, retail
+from daybook.streaming.incremental import incremental_history
+
+_CLEAN = f"""{KEYS}, {r('"Sales"')} as "Sales", {r('"Customers"')} as "Customers", {i('"Open"')} as "Open", {i('"Promo"')} as "Promo",
+  {i('"DayOfWeek"')} as "DayOfWeek", "StateHoliday", {r('"SchoolHoliday"')} as "SchoolHoliday\""""
+
+
+@query("clean_job", ctes(*CLEANED) + f"select {_CLEAN} from clean")
+def clean_job(spark, sf_dir):
+    cleaned = jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"])
+    return plain(cleaned.withColumn("SchoolHoliday", F.col("SchoolHoliday").cast("double")))
+
+
+# --- the feature table ------------------------------------------------------------------------------------
+
+_W = '(partition by "Store" order by "Date")'
+_SO_FAR = '(partition by "Store" order by "Date" rows between unbounded preceding and current row)'
+
+
+def _flag(condition: str) -> str:
+    return f"case when {condition} then 1 else 0 end"
+
+
+_IMPUTED = """imputed as (select * replace (coalesce("CompetitionDistance", 100000) as "CompetitionDistance",
+    coalesce("CompetitionOpenSinceMonth", 0) as "CompetitionOpenSinceMonth", coalesce("CompetitionOpenSinceYear", 0) as "CompetitionOpenSinceYear",
+    coalesce("Promo2SinceWeek", 0) as "Promo2SinceWeek", coalesce("Promo2SinceYear", 0) as "Promo2SinceYear"),
+  case when "CompetitionOpenSinceYear" is not null then 1 else 0 end as "HasCompetition",
+  case when "Promo2SinceYear" is not null then 1 else 0 end as "InPromo2",
+  case when "StateHoliday" <> '0' then 1 else 0 end as "IsHoliday" from merged)"""
+_MONTHS = """greatest((year("Date") - "CompetitionOpenSinceYear") * 12 + month("Date") - "CompetitionOpenSinceMonth", 0)"""
+_STAGED = f"""staged as (select *, {", ".join(lag_sql())},
+  {_flag(f'lag("Promo") over {_W} is null or lag("Promo") over {_W} <> "Promo"')} as chg,
+  case when "Promo" = 1 then 0 else coalesce("Date" - max(case when "Promo" = 1 then "Date" end) over {_SO_FAR}, 999) end as "DaysSinceLastPromo",
+  {_flag(f'"Promo" = 1 and lag("Promo") over {_W} = 0')} as "IsPromoStart", {_flag(f'"Promo" = 0 and lag("Promo") over {_W} = 1')} as "IsPromoEnd",
+  lag("IsHoliday", 1, 0) over {_W} as "WasHolidayYesterday", lead("IsHoliday", 1, 0) over {_W} as "IsHolidayTomorrow",
+  coalesce(max("IsHoliday") over (partition by "Store" order by "Date" rows between 7 preceding and 1 preceding), 0) as "WasHolidayLastWeek"
+  from imputed), sequenced as (select *, sum(chg) over {_SO_FAR} as seq from staged)"""
+_ROW = {
+    "Year": 'year("Date")', "Month": 'month("Date")', "Week": 'weekofyear("Date")', "ISOYear": 'extract(isoyear from "Date")',
+    "Day": 'day("Date")', "DayOfYear": 'dayofyear("Date")',
+    "IsSaturday": _flag('"DayOfWeek" = 6'), "IsSunday": _flag('"DayOfWeek" = 7'), "IsWeekend": _flag('"DayOfWeek" >= 6'),
+    **{f"{n}_{f}": f"{f}({2 * math.pi!r} * {v} / {p})" for n, v, p in (
+        ("Month", 'month("Date")', 12), ("DayOfWeek", '"DayOfWeek"', 7), ("DayOfMonth", 'day("Date")', 31)) for f in ("sin", "cos")},
+    "IsSpring": _flag('month("Date") in (3, 4, 5)'), "IsSummer": _flag('month("Date") in (6, 7, 8)'),
+    "IsAutumn": _flag('month("Date") in (9, 10, 11)'), "IsWinter": _flag('month("Date") in (12, 1, 2)'),
+    "IsMonthStart": _flag('day("Date") <= 5'), "IsMonthEnd": _flag('day("Date") >= 25'),
+    "IsYearStart": _flag('month("Date") = 1 and day("Date") <= 7'), "IsYearEnd": _flag('month("Date") = 12 and day("Date") >= 25'),
+    "IsPublicHoliday": _flag("\"StateHoliday\" = 'a'"), "IsEaster": _flag("\"StateHoliday\" = 'b'"),
+    "IsChristmas": _flag("\"StateHoliday\" = 'c'"),
+    **{f"StoreType_{v}": _flag(f"\"StoreType\" = '{v}'") for v in "abcd"},
+    **{f"Assortment_{v}": _flag(f"\"Assortment\" = '{v}'") for v in "abc"},
+    "CompetitionOpenMonths": _MONTHS, "CompetitionOpen": _flag(f"{_MONTHS} > 0"),
+    "CompetitionNear": _flag('"CompetitionDistance" < 1000'),
+    "CompetitionMedium": _flag('"CompetitionDistance" >= 1000 and "CompetitionDistance" < 5000'),
+    "CompetitionFar": _flag('"CompetitionDistance" >= 5000'),
+    "PromoSequenceLength": 'case when "Promo" = 1 then row_number() over (partition by "Store", seq order by "Date") else 0 end',
+}
+_LAGS = panel.lag_columns()
+_FILLS = dict(zip(_LAGS, (f.rsplit(" as ", 1)[0] for f in fill_sql(_LAGS))))
+# Expanding statistics of statistics: fewer places, and away from exact rounding ties.
+_DIGITS = {c: 1 if c.startswith("RollingStd") else 4 for c in _LAGS}
+_SHIFT = 0.0000317
+
+
+def _feature_sql(name: str) -> str:
+    if name in _FILLS:
+        return f'{r(f"{_FILLS[name]} + {_SHIFT}", _DIGITS[name])} as "{name}"'
+    return f'{r(_ROW.get(name, f"\"{name}\""), 6)} as "{name}"'
+
+
+@query("feature_job", ctes(PANEL, STORE_DIM, MERGED, _IMPUTED, _STAGED) + f"""
+select {", ".join(_feature_sql(n) for n in feature_names() if n != "Store")}, {r('"Store"')} as "Store", {s('"Date"')} as "Date", {r('"Sales"')} as "Sales" from sequenced""")
+def feature_job(spark, sf_dir):
+    built = jobs.feature_job(retail.merged_panel(spark, sf_dir))
+    shifted = built.select(*[
+        (F.col(n) + F.lit(_SHIFT)).alias(n) if n in _FILLS else F.col(n).cast("double").alias(n) for n in feature_names()
+    ], "Sales", "Date")
+    return plain(shifted, 6, _DIGITS)
+
+
+# --- history, prediction, validation ----------------------------------------------------------------------
+
+
+@query("history_job", ctes(*CLEANED) + f"""
+select {i("count(*)")} as total_records, {i('count(distinct "Store")')} as unique_stores,
+       {s('min("Date")')} || ' - ' || {s('max("Date")')} as date_range, {i('max("Date") - min("Date")')} as date_coverage_days from clean""")
+def history_job(spark, sf_dir):
+    cleaned = jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"], check_fractions=False)
+    return plain(jobs.history_job(fresh_warehouse(spark, "history_job"), cleaned))
+
+
+_MEAN_28 = """lagged as (select *, avg("Sales") over (partition by "Store" order by "Date"
+  range between interval 28 days preceding and interval 1 days preceding) as m from clean)"""
+_SCORED = f"""scored as (select "Store", "Date", "Sales" as a, coalesce(m, avg(m) over {_SO_FAR}, 0) as p from lagged)"""
+
+
+def _predict(spark, sf_dir, name):
+    merged = joins.join_store_dim(
+        retail.sales_raw(spark, sf_dir).withColumn("Store", F.col("Store").cast("int")), retail.store_dim(spark, sf_dir)
+    )
+    return jobs.predict_job(
+        merged, ["ingest_seq"], fresh_warehouse(spark, name), lambda df: df.withColumn("PredictedSales", F.col("RollingMean_28")), run_id="run_a"
+    )[1]
+
+
+@query("predict_job", ctes(*CLEANED, _MEAN_28, _SCORED) + f"""
+select {KEYS}, {r("a")} as "ActualSales", {r("p")} as "PredictedSales", {r("abs(a - p)")} as "AbsoluteError",
+       {r("case when a > 0 then abs(a - p) / a * 100 else 0 end")} as "PercentageError" from scored""")
+def predict_job(spark, sf_dir):
+    """As-of-day-ahead scoring with the 28-day mean of the stored history as the model."""
+    return plain(_predict(spark, sf_dir, "predict_job"))
+
+
+@query("validate_job", ctes(*CLEANED, _MEAN_28, _SCORED) + """
+select 1 as has_column, cast(count(*) > 0 as bigint) as has_data, cast(bool_and(p >= 0) as bigint) as no_negative,
+       cast(bool_and(p is not null) as bigint) as no_nan, cast(count(*) > 0 and bool_and(p >= 0) as bigint) as all_passed, '' as failed_checks from scored""")
+def validate_job(spark, sf_dir):
+    return plain(jobs.validate_job(_predict(spark, sf_dir, "validate_job")))
+
+
+@query("run_report")
+def run_report(spark, sf_dir):
+    inventory = files.file_inventory(spark, {
+        "train": f"{sf_dir}/lineitem.parquet", "model": f"{sf_dir}/none", "predictions": f"{sf_dir}/orders.parquet",
+    })
+    return plain(runs.run_report(retail.run_log(spark, sf_dir), inventory))
+
+
+@query("step_log", ctes(*CLEANED) + f"""
+select 'preprocess' as dag_name, 'success' as status, {i("count(*)")} as records_processed, '' as error from clean
+union all select 'create_features', 'success', {i("count(*)")}, '' from clean
+union all select 'train_model', 'failed', 0, 'no dataset'""")
+def step_log(spark, sf_dir):
+    warehouse = fresh_warehouse(spark, "step_log")
+    log = jobs.StepLog(warehouse)
+    staged = scratch_path(spark, "step-log")
+
+    def preprocess():
+        files.sink_stage(jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"], check_fractions=False), staged)
+        return {"records_processed": files.scan_stage(spark, staged).count()}
+
+    def create_features():
+        return {"records_processed": build_features(files.scan_stage(spark, staged)).count()}
+
+    def train_model():
+        raise FileNotFoundError("no dataset")
+
+    log.run("preprocess", preprocess)
+    log.run("create_features", create_features)
+    try:
+        log.run("train_model", train_model)
+    except FileNotFoundError:
+        pass
+    return plain(warehouse.pipeline_runs().select(
+        "dag_name", "status", F.coalesce("records_processed", F.lit(0)).alias("records_processed"),
+        F.coalesce("error_message", F.lit("")).alias("error"),
+    ))
+
+
+@query("incremental_history", ctes(*CLEANED) + f"""
+select {KEYS}, {r('"Sales"')} as "Sales", {i('"Promo"')} as "Promo", "StateHoliday", {i('coalesce("SchoolHoliday", 0)')} as "SchoolHoliday" from clean""")
+def incremental_history_query(spark, sf_dir):
+    """The raw table lands as files and streams into the history."""
+    landing = scratch_path(spark, "landing")
+    files.sink_stage(retail.sales_raw(spark, sf_dir), landing)
+    schema = spark.read.parquet(landing).schema
+    warehouse = fresh_warehouse(spark, "incremental_history")
+    stream = spark.readStream.schema(schema).parquet(landing)
+    incremental_history(stream, warehouse, scratch_path(spark, "stream"), ["ingest_seq"]).awaitTermination()
+    return plain(warehouse.load_history().select("Store", "Date", "Sales", "Promo", "StateHoliday", "SchoolHoliday"))

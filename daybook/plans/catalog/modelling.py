@@ -1 +1,164 @@
-"""Queries."""
+"""Splits, models, scoring and comparison over the feature table of the whole panel.
+
+The model sizes here are small so that the catalogue stays quick; the library defaults are larger.
+"""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from daybook.config import DEFAULT_CONFIG
+from daybook.ml import models, split, training
+from daybook.operators.evaluation import forecast_metrics
+from daybook.plans.catalog.base import KEYS, PANEL, ctes, i, plain, query, r
+from daybook.plans.catalog.tables import fresh_warehouse
+from daybook.plans.features import build_features
+from daybook.session import scratch_path
+from daybook.sources import files, retail
+
+FOREST = models.ForestSettings(trees=20, depth=6)
+BOOST = models.BoostSettings(max_iter=10, depth=4, bins=32, step=0.3)
+SEARCH_CONFIG = replace(DEFAULT_CONFIG, search_trials=2, cv_splits=2)
+
+
+def staged_features(spark, sf_dir):
+    """The feature table, written once: training reads it many times."""
+    path = scratch_path(spark, "features")
+    files.sink_stage(build_features(retail.merged_panel(spark, sf_dir)), path)
+    return files.scan_stage(spark, path)
+
+
+_WEEKS = """keyed as (select *, cast(extract(isoyear from "Date") as int) * 100 + weekofyear("Date") as k from panel),
+weeks as (select k, row_number() over (order by k) - 1 as w, count(*) over () as n from (select distinct k from keyed)),
+cut as (select k as pk from weeks where w = floor(n * 0.8))"""
+
+
+@query("time_split", ctes(PANEL, _WEEKS) + f"""
+select {KEYS}, {i("k")} as "WeekKey", {i("k <= pk")} as "IsTrain" from keyed, cut""")
+def time_split(spark, sf_dir):
+    labelled = split.label_split(retail.sales_panel(spark, sf_dir, "nation"), 0.8)
+    return plain(labelled.select("Store", "Date", split.WEEK, "IsTrain"))
+
+
+@query("cv_folds", ctes(PANEL, _WEEKS, "folds as (select cast(g as int) as fold, cast(floor((select max(n) from weeks) / 4) as int) as size from range(3) t(g))") + f"""
+select {i("fold")} as fold, {i("k")} as "WeekKey", case when w < n - (3 - fold) * size then 'train' else 'validation' end as role
+from weeks, folds where w < n - (3 - fold) * size + size""")
+def cv_folds(spark, sf_dir):
+    return plain(split.fold_table(retail.sales_panel(spark, sf_dir, "nation"), 3))
+
+
+@query("assemble", ctes(PANEL) + f"""
+select {KEYS}, {r('ln(1 + "Sales")', 6)} as label, {i('4')} as n_features, {r('"DayOfWeek"')} as f0, {r('"Promo"')} as f1 from panel""")
+def assemble(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = models.assemble(retail.sales_panel(spark, sf_dir, "nation"), ["DayOfWeek", "Promo", "SchoolHoliday", "Store"], log=True)
+    vector = vector_to_array("features")
+    return plain(rows.select("Store", "Date", "label", F.size(vector).alias("n_features"), vector[0].alias("f0"), vector[1].alias("f1")), 6)
+
+
+_METRIC_COLUMNS = ("model", "MAE", "RMSE", "MAPE", "RMSPE", "R2", "MaxError", "MedAE", "Bias", "Samples")
+
+
+@query("baselines")
+def baselines(spark, sf_dir):
+    train, test = split.time_split(staged_features(spark, sf_dir))
+    return plain(models.baselines(train, test, FOREST)[0].select(*_METRIC_COLUMNS, "error"))
+
+
+_E = '"Sales" - m'
+
+
+@query("mean_baseline", ctes(PANEL, _WEEKS, 'mean as (select avg("Sales") as m from keyed, cut where k <= pk)') + f"""
+select {r(f"avg(abs({_E}))")} as "MAE", {r(f"sqrt(avg(({_E}) * ({_E})))")} as "RMSE", {r(f'avg(abs({_E}) / greatest("Sales", 1)) * 100')} as "MAPE",
+       {r(f'1 - sum(({_E}) * ({_E})) / (var_pop("Sales") * count(*))')} as "R2", {r(f"quantile_cont(abs({_E}), 0.5)")} as "MedAE",
+       {r(f"avg({_E})")} as "Bias", {i("count(*)")} as "Samples" from keyed, cut, mean where k > pk""")
+def mean_baseline(spark, sf_dir):
+    train, test = split.time_split(retail.sales_panel(spark, sf_dir, "nation"))
+    metrics = forecast_metrics(models.score_mean(train, test))
+    return plain(metrics.select("MAE", "RMSE", "MAPE", "R2", "MedAE", "Bias", "Samples"))
+
+
+@query("boosted_trees")
+def boosted_trees(spark, sf_dir):
+    train, test = split.time_split(staged_features(spark, sf_dir))
+    return plain(models.train_boosted(train, test, BOOST).metrics.select(*_METRIC_COLUMNS))
+
+
+@query("nested_holdout")
+def nested_holdout(spark, sf_dir):
+    """Stop point on the held-out weeks, and the number of trees of the refit."""
+    train, _ = split.time_split(staged_features(spark, sf_dir))
+    rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
+    search, holdout = split.holdout_split(rows)
+    _, best = models.fit_with_stop(search, holdout, BOOST)
+    refit = BOOST.estimator(best).fit(rows)
+    counts = search.agg(F.count(F.lit(1)).alias("search_rows")).withColumns({
+        "holdout_rows": holdout.agg(F.count(F.lit(1))).scalar(),
+        "best_iterations": F.lit(best),
+        "refit_trees": F.lit(refit.getNumTrees),
+    })
+    return plain(counts)
+
+
+@query("param_search")
+def param_search(spark, sf_dir):
+    train, _ = split.time_split(staged_features(spark, sf_dir))
+    rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
+    rows = rows.select("Store", "Date", "Sales", split.WEEK, "features", "label")
+    base = replace(BOOST, max_iter=5)
+    trials = models.param_search(rows, base, SEARCH_CONFIG.search_trials, SEARCH_CONFIG.cv_splits)
+    return plain(models.trial_table(spark, trials))
+
+
+def _trained(spark, sf_dir):
+    train, test = split.time_split(staged_features(spark, sf_dir))
+    return models.train_boosted(train, test, BOOST), test
+
+
+@query("predict")
+def predict(spark, sf_dir):
+    result, test = _trained(spark, sf_dir)
+    return plain(models.predict(result.model, test).select("Store", "Date", "Sales", "PredictedSales"))
+
+
+@query("model_io")
+def model_io(spark, sf_dir):
+    """A model that was saved and loaded again predicts the same."""
+    result, test = _trained(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    models.save_model(result.model, path)
+    loaded = models.load_model(spark, path)
+    again = models.predict(loaded, test).select("Store", "Date", F.col("PredictedSales").alias("Loaded"))
+    both = models.predict(result.model, test).select("Store", "Date", "PredictedSales").join(again, ["Store", "Date"])
+    return plain(both.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Loaded") != F.col("PredictedSales")).alias("different")
+    ))
+
+
+@query("importance")
+def importance(spark, sf_dir):
+    return plain(models.importance(spark, _trained(spark, sf_dir)[0].model), 6)
+
+
+@query("top_features")
+def top_features(spark, sf_dir):
+    return plain(models.top_features(models.importance(spark, _trained(spark, sf_dir)[0].model)), 6)
+
+
+@query("model_comparison")
+def model_comparison(spark, sf_dir):
+    train, test = split.time_split(staged_features(spark, sf_dir))
+    base, _ = models.baselines(train, test, FOREST)
+    boosted = models.train_boosted(train, test, BOOST).metrics
+    return plain(models.model_comparison(base, boosted).select("model", "MAPE", "R2", "MAE", "RMSE", "is_best", "is_worst"))
+
+
+@query("train_job")
+def train_job(spark, sf_dir):
+    root = scratch_path(spark, "train_job")
+    warehouse = fresh_warehouse(spark, "train_job_tables")
+    training.train_job(staged_features(spark, sf_dir), f"{root}/model", f"{root}/reports", warehouse, settings=BOOST)
+    return plain(warehouse.model_metrics().select("mape", "rmse", "mae", "r2_score", "n_features", "n_train_samples", "n_test_samples", "best_params"))
