@@ -7,19 +7,28 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from daybook.operators import cleaning
 from daybook.schemas import REQUIRED_HISTORY, require_columns
 
 
+def last_per_day(new: DataFrame, order_by: str | None = None) -> DataFrame:
+    """The history columns, one row per (Store, Date): the last by `order_by`."""
+    require_columns(new.columns, REQUIRED_HISTORY, "new history rows")
+    seq = F.col(order_by) if order_by else F.lit(0)
+    return cleaning.dedupe_keep_last(new.select(*REQUIRED_HISTORY, seq.alias("__seq")), ["__seq"]).drop("__seq")
+
+
 def merge_history(history: DataFrame, new: DataFrame, order_by: str | None = None) -> DataFrame:
-    """History and new rows, the new row winning on (Store, Date); among new rows the last by `order_by`."""
+    """History and new rows, the new row winning on (Store, Date); among new rows the last by `order_by`.
+
+    Both rules are one ordering, so the merge is a single exchange on (Store, Date).
+    """
     require_columns(new.columns, REQUIRED_HISTORY, "new history rows")
-    columns = [F.col(c) for c in REQUIRED_HISTORY]
     seq = F.col(order_by) if order_by else F.lit(0)
-    stacked = history.select(*columns, F.lit(0).alias("__new"), F.lit(None).alias("__seq")).unionByName(
-        new.select(*columns, F.lit(1).alias("__new"), seq.alias("__seq"))
-    )
-    newest = Window.partitionBy("Store", "Date").orderBy(F.col("__new").desc(), F.col("__seq").desc_nulls_last())
-    return stacked.withColumn("__rn", F.row_number().over(newest)).where("__rn = 1").select(*REQUIRED_HISTORY)
+    incoming = new.select(*REQUIRED_HISTORY, F.lit(1).alias("__new"), seq.alias("__seq"))
+    stored = history.select(*REQUIRED_HISTORY, F.lit(0).alias("__new"), F.lit(None).alias("__seq"))
+    newest = cleaning.dedupe_keep_last(stored.unionByName(incoming), ["__new", "__seq"])
+    return newest.drop("__new", "__seq")
 
 
 def store_history_slice(

@@ -44,6 +44,21 @@ def from_table_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(b).alias(a) for a, b in mapping.items() if b in df.columns])
 
 
+def history_rows(df: DataFrame) -> DataFrame:
+    """CamelCase history rows in table layout, with the partition column."""
+    return to_table_columns(df, HISTORY_MAP).select(
+        F.col("store_id").cast("int"),
+        F.col("date").cast("date"),
+        F.col("sales").cast("double"),
+        F.coalesce(F.col("day_of_week").cast("int"), F.lit(0)).alias("day_of_week"),
+        F.coalesce(F.col("promo").cast("int"), F.lit(0)).alias("promo"),
+        F.coalesce("state_holiday", F.lit("0")).alias("state_holiday"),
+        F.coalesce(F.col("school_holiday").cast("int"), F.lit(0)).alias("school_holiday"),
+        F.current_timestamp().alias("created_at"),
+        F.date_format("date", "yyyy-MM").alias(MONTH),
+    )
+
+
 class Warehouse:
     """The four tables under one root folder. All methods but the writers return lazy frames."""
 
@@ -132,26 +147,16 @@ class Warehouse:
             return 0
         path, fs = self._fs()
         known = [m for m in months if fs.exists(path(self._month_path(m)))]
-        stored = self.read("sales_history")
-        stored = stored.where(F.col(MONTH).isin(known)) if known else self.spark.createDataFrame([], TABLES["sales_history"])
-        merged = history_ops.merge_history(from_table_columns(stored, HISTORY_MAP), new, order_by)
-        content = to_table_columns(merged, HISTORY_MAP).select(
-            F.col("store_id").cast("int"),
-            F.col("date").cast("date"),
-            F.col("sales").cast("double"),
-            F.coalesce(F.col("day_of_week").cast("int"), F.lit(0)).alias("day_of_week"),
-            F.coalesce(F.col("promo").cast("int"), F.lit(0)).alias("promo"),
-            F.coalesce("state_holiday", F.lit("0")).alias("state_holiday"),
-            F.coalesce(F.col("school_holiday").cast("int"), F.lit(0)).alias("school_holiday"),
-            F.current_timestamp().alias("created_at"),
-            F.date_format("date", "yyyy-MM").alias(MONTH),
-        )
-        # Months the table does not have yet are appended; a writer lost half-way leaves rows that the repeated
-        # upsert replaces by key.
+        in_known = F.date_format("Date", "yyyy-MM").isin(known)
         if known:
-            self._replace_months(content.where(F.col(MONTH).isin(known)), known)
+            stored = self.read("sales_history").where(F.col(MONTH).isin(known))
+            merged = history_ops.merge_history(from_table_columns(stored, HISTORY_MAP), new.where(in_known), order_by)
+            self._replace_months(history_rows(merged), known)
         if len(known) < len(months):
-            self._write_months(content.where(~F.col(MONTH).isin(known)) if known else content, self.path("sales_history"))
+            # Months the table does not have yet are appended; a writer lost half-way leaves rows that the
+            # repeated upsert replaces by key.
+            fresh = new.where(~in_known) if known else new
+            self._write_months(history_rows(history_ops.last_per_day(fresh, order_by)), self.path("sales_history"))
         return len(months)
 
     def delete_history_before(self, cutoff: date | str) -> int:
