@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.quantiles import exact_percentiles
+from daybook.session import materialize
 
 NUMERIC_COLUMNS = ("Sales", "Customers", "CompetitionDistance", "Open", "Promo")
 INTEGER_COLUMNS = ("Store", "DayOfWeek", "Open", "Promo", "SchoolHoliday", "Promo2")
@@ -119,13 +120,13 @@ def detect_outliers(
         return df.withColumn(flag, F.lit(False))
 
     value = F.col(column)
+    regime = F.lit(-1)
+    narrow = df.select(*[c for c in dict.fromkeys((column, "Promo")) if c in df.columns])
     if "Promo" in df.columns:
-        split = df.agg((F.min("Promo") != F.max("Promo")).alias("split")).scalar()
+        narrow = materialize(narrow)
+        split = narrow.agg((F.min("Promo") != F.max("Promo")).alias("split")).scalar()
         regime = F.when(F.coalesce(split, F.lit(False)), F.when(F.col("Promo").isin(0, 1), F.col("Promo"))).otherwise(-1)
-    else:
-        regime = F.lit(-1)
-    tagged = df.withColumn("__regime", regime.cast("int"))
-    known = tagged.where(F.col("__regime").isNotNull())
+    known = narrow.withColumn("__regime", regime.cast("int")).where(F.col("__regime").isNotNull())
 
     # At most two groups (0 and 1, or the single -1), so the limits are always broadcastable.
     if method == "iqr":
@@ -142,7 +143,8 @@ def detect_outliers(
         mean, std = F.col("__low"), F.col("__high")
         outside = (std != 0) & (F.abs(F.try_divide(value - mean, std)) > threshold)
     return (
-        tagged.join(F.broadcast(limits), "__regime", "left")
+        df.withColumn("__regime", regime.cast("int"))
+        .join(F.broadcast(limits), "__regime", "left")
         .withColumn(flag, F.coalesce(outside, F.lit(False)))
         .drop("__regime", "__low", "__high")
     )
@@ -150,7 +152,7 @@ def detect_outliers(
 
 def outlier_stats(df: DataFrame, column: str = "Sales", method: str = "iqr", threshold: float = 3.0) -> DataFrame:
     """One row: counts, share and the value range of normal and outlying rows."""
-    flagged = detect_outliers(df, column, method, threshold).select(F.col(column).alias("v"), "IsOutlier")
+    flagged = materialize(detect_outliers(df, column, method, threshold).select(F.col(column).alias("v"), "IsOutlier"))
     normal, odd = F.when(~F.col("IsOutlier"), F.col("v")), F.when(F.col("IsOutlier"), F.col("v"))
     median = exact_percentiles(flagged, normal, (0.5,)).select(F.col("q")[0])
     total, hits = F.count(F.lit(1)), F.count_if(F.col("IsOutlier"))

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import errors
+from daybook.operators.eda import pearson
 from daybook.operators.quantiles import exact_percentiles, ranked_rows
+from daybook.session import materialize
 
 ACF_LAGS = 60
 KDE_MIN_ROWS = 30
@@ -23,14 +25,14 @@ def residuals(df: DataFrame) -> DataFrame:
 
 def abs_error_cdf(df: DataFrame) -> DataFrame:
     """Every absolute error in ascending order with its cumulative percent i / n * 100."""
-    values = residuals(df).select(F.abs("Residual").alias("__v")).where(F.col("__v").isNotNull())
+    values = materialize(residuals(df).select(F.abs("Residual").alias("__v")).where(F.col("__v").isNotNull()))
     return ranked_rows(values).select(
         F.col("__v").alias("AbsError"), (F.col("__i") / F.col("__n") * 100).alias("CumulativePct")
     )
 
 
 def residual_percentiles(df: DataFrame) -> DataFrame:
-    q = exact_percentiles(residuals(df), F.abs("Residual"), (0.5, 0.75, 0.95))
+    q = exact_percentiles(materialize(residuals(df).select("Residual")), F.abs("Residual"), (0.5, 0.75, 0.95))
     return q.select(F.col("q")[0].alias("P50"), F.col("q")[1].alias("P75"), F.col("q")[2].alias("P95"))
 
 
@@ -44,7 +46,7 @@ def residual_trend(df: DataFrame) -> DataFrame:
 
 def residuals_by_quintile(df: DataFrame, bins: int = 5) -> DataFrame:
     """Box statistics of the residual per prediction bin; edges are percentiles, the last bin is closed."""
-    rows = residuals(df).select("Residual", F.col("PredictedSales").alias("p"))
+    rows = materialize(residuals(df).select("Residual", F.col("PredictedSales").alias("p")))
     edges = exact_percentiles(rows, F.col("p"), [j / bins for j in range(bins + 1)]).select("q").scalar()
     reached = sum(((F.col("p") >= edges[j]).cast("int") for j in range(1, bins)), F.lit(0))
     binned = rows.withColumn("bin", reached).withColumns({"lo": edges[F.col("bin")], "hi": edges[F.col("bin") + 1]})
@@ -72,7 +74,7 @@ def residuals_by_quintile(df: DataFrame, bins: int = 5) -> DataFrame:
 
 def qq_normal(df: DataFrame) -> DataFrame:
     """Ordered residuals against normal order-statistic medians."""
-    values = residuals(df).select(F.col("Residual").cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    values = materialize(residuals(df).select(F.col("Residual").cast("double").alias("__v")).where(F.col("__v").isNotNull()))
     i, n = F.col("__i"), F.col("__n")
     last = F.pow(F.lit(0.5), F.lit(1.0) / n)
     p = F.when(i == n, last).when(i == 1, 1 - last).otherwise((i - 0.3175) / (n + 0.365))
@@ -86,7 +88,7 @@ def qq_fit(points: DataFrame) -> DataFrame:
     return points.agg(
         F.regr_slope("Residual", "Theoretical").alias("slope"),
         F.regr_intercept("Residual", "Theoretical").alias("intercept"),
-        F.corr("Theoretical", "Residual").alias("r"),
+        pearson(F.col("Theoretical"), F.col("Residual")).alias("r"),
     )
 
 
@@ -140,9 +142,12 @@ def error_pct(df: DataFrame) -> DataFrame:
 
 
 def error_pct_stats(df: DataFrame) -> DataFrame:
+    return value_stats(materialize(error_pct(df)))
+
+
+def value_stats(values: DataFrame) -> DataFrame:
     """Statistics of all values, and the display range: [p1, p99], or [p0.5, p99.5] when that cuts more than
     10 percent, or everything when there are fewer than 100 values."""
-    values = error_pct(df)
     q = exact_percentiles(values, F.col("v"), (0.005, 0.01, 0.5, 0.99, 0.995)).select("q").scalar()
     v = F.col("v")
     stats = values.agg(
@@ -165,8 +170,11 @@ def error_pct_stats(df: DataFrame) -> DataFrame:
 
 
 def displayed_error_pct(df: DataFrame) -> DataFrame:
-    limits = error_pct_stats(df).select(F.struct("display_low", "display_high")).scalar()
-    return error_pct(df).where((F.col("v") >= limits["display_low"]) & (F.col("v") <= limits["display_high"]))
+    """The values inside the display range, written once: bins and densities pass over them several times."""
+    values = materialize(error_pct(df))
+    limits = value_stats(values).select(F.struct("display_low", "display_high")).scalar()
+    shown = values.where((F.col("v") >= limits["display_low"]) & (F.col("v") <= limits["display_high"]))
+    return materialize(shown)
 
 
 def value_summary(values: DataFrame) -> DataFrame:

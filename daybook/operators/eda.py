@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.quantiles import exact_percentiles
+from daybook.session import materialize
 
 
 def sales_by_weekday(df: DataFrame) -> DataFrame:
@@ -60,6 +61,7 @@ def store_extremes(df: DataFrame) -> DataFrame:
 
 
 def sales_summary(df: DataFrame, column: str = "Sales") -> DataFrame:
+    df = materialize(df.select(column))
     median = exact_percentiles(df, F.col(column), (0.5,)).select(F.col("q")[0])
     return df.agg(
         F.avg(column).alias("mean"),
@@ -86,12 +88,19 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def pearson(a: Column, b: Column) -> Column:
+    """Aggregate: correlation over the rows where both are known; NULL (not an error) for a constant column."""
+    a, b = a.cast("double"), b.cast("double")
+    spread = F.sqrt(F.regr_sxx(a, b) * F.regr_syy(a, b))
+    return F.try_divide(F.regr_sxy(a, b), F.nullif(spread, F.lit(0.0)))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Long form (a, b, corr) of all ordered pairs; pairwise complete rows; one aggregate for all of them."""
     columns = list(columns or numeric_columns(df))
     pairs = list(combinations(columns, 2))
     wide = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{n}") for n, (a, b) in enumerate(pairs)],
+        *[pearson(F.col(a), F.col(b)).alias(f"c{n}") for n, (a, b) in enumerate(pairs)],
         *[F.coalesce(F.var_pop(F.col(c)), F.lit(0.0)).alias(f"v{n}") for n, c in enumerate(columns)],
     )
 
@@ -107,12 +116,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
 def correlation_with(df: DataFrame, target: str = "Sales", threshold: float = 0.1) -> DataFrame:
     """Columns whose correlation with the target exceeds the threshold in size, strongest positive first."""
     others = [c for c in numeric_columns(df) if c != target]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in others])
+    wide = df.agg(*[pearson(F.col(c), F.col(target)).alias(c) for c in others])
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in others])
     return wide.select(F.inline(cells)).where(F.abs("corr") > threshold).orderBy(F.col("corr").desc())
 
 
 def iqr_outlier_count(df: DataFrame, column: str = "Sales", k: float = 1.5) -> DataFrame:
+    df = materialize(df.select(column))
     q = exact_percentiles(df, F.col(column), (0.25, 0.75)).select("q").scalar()
     reach = (q[1] - q[0]) * k
     hits = F.count_if((F.col(column) < q[0] - reach) | (F.col(column) > q[1] + reach))

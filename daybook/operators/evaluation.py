@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from daybook.config import DEFAULT_CONFIG
 from daybook.functions import errors
 from daybook.operators.quantiles import exact_percentiles
+from daybook.session import materialize
 
 def _a():
     return F.col("ActualSales")
@@ -47,7 +48,7 @@ def detail_table(df: DataFrame, limit: int = DEFAULT_CONFIG.detail_rows) -> Data
 
 def forecast_metrics(df: DataFrame) -> DataFrame:
     """One row: MAE, RMSE, MAPE, RMSPE, R2, MaxError, MedAE, Bias, Samples."""
-    pairs = df.select(_a().cast("double").alias("ActualSales"), _p().cast("double").alias("PredictedSales"))
+    pairs = materialize(df.select(_a().cast("double").alias("ActualSales"), _p().cast("double").alias("PredictedSales")))
     error = _a() - _p()
     relative = error / F.greatest(_a(), F.lit(1.0))
     n = F.count(F.lit(1))
@@ -87,7 +88,7 @@ def safe_mape(df: DataFrame) -> DataFrame:
 
 
 def batch_summary(df: DataFrame) -> DataFrame:
-    rows = enrich_errors(df)
+    rows = materialize(enrich_errors(df).select("Store", "Date", "AbsoluteError", "PercentageError"))
     median = exact_percentiles(rows, F.col("AbsoluteError"), (0.5,)).select(F.col("q")[0])
     return rows.agg(
         F.count(F.lit(1)).alias("predictions"),

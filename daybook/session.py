@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "daybook", memory: str = "8g") -> SparkSession:
@@ -37,7 +37,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(scratch_path(spark, "checkpoints"))
+# Nodes that make a second evaluation of a plan dearer than reading its result back.
+_COSTLY = ("Aggregate", "Join", "Window", "Generate", "Sort", "InPandas")
+
+
+def materialize(df: DataFrame, name: str = "rows") -> DataFrame:
+    """`df` for an operator that passes over it more than once.
+
+    A plain scan with filters and projections is returned as it is. Anything with a shuffle in it is written
+    once to the shared scratch folder and read back, so the passes do not repeat it and a lost executor only
+    costs a re-read. Callers project to the few columns they need first.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if not any(node in plan for node in _COSTLY):
+        return df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
