@@ -180,28 +180,38 @@ def lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_CONFIG.lag_days) -
     return staged.withColumns(expanding_fill_expressions(lag_columns(lags))).drop(DAY)
 
 
+BROADCAST_STORES = 100_000  # integer keys; a few megabytes at most
+
+
 def batch_lags(
-    requests: DataFrame, history: DataFrame, lags: Sequence[int] = DEFAULT_CONFIG.lag_days
+    requests: DataFrame, history: DataFrame, lags: Sequence[int] = DEFAULT_CONFIG.lag_days, unique: bool = False
 ) -> DataFrame:
-    """Lags for arbitrary (Store, Date) requests against the history table.
+    """Lags for arbitrary (Store, Date) requests against the history table, with the requests' other columns.
 
-    Requests join the history as rows without Sales; every frame ends the day before, so a history row of the
-    requested day never leaks. The history is bounded to the days the frames can reach. Equal requests are
-    computed once and fan out again in the final join.
+    Requests join the history as rows without a value; every frame ends the day before, so a history row of the
+    requested day never leaks. History is cut to the days the frames can reach. With `unique` the caller vouches
+    that no pair repeats and everything runs in one exchange by Store; otherwise equal pairs are computed once
+    (a pair may repeat without bound) and fan out in a final join.
     """
-    wanted = requests.select("Store", "Date").distinct()
+    if not unique:
+        keys = requests.select("Store", "Date").distinct()
+        return join_lags_back(requests, batch_lags(keys, history, lags, unique=True))
+
     reach = 2 * max(lags) + 30
-    since = wanted.groupBy("Store").agg(F.date_sub(F.min("Date"), reach).alias("__since"))
-    first_day = wanted.agg(F.date_sub(F.min("Date"), reach)).scalar()
-    past = (
-        history.where(F.col("Date") >= first_day)  # prunes month partitions
-        .join(since, "Store")
-        .where(F.col("Date") >= F.col("__since"))
-        .select("Store", "Date", F.col("Sales").cast("double").alias("Sales"), F.lit(False).alias("__ask"))
-    )
-    asked = wanted.select("Store", "Date", F.lit(None).cast("double").alias("Sales"), F.lit(True).alias("__ask"))
-    lagged = with_day(past.unionByName(asked)).withColumns(lag_expressions(lags)).where("__ask")
-    return join_lags_back(requests, lagged.select("Store", "Date", *lag_columns(lags)))
+    first_day = requests.agg(F.date_sub(F.min("Date"), reach)).scalar()
+    past = history.where(F.col("Date") >= first_day)  # prunes month partitions
+    stores = requests.select("Store").distinct()
+    if stores.limit(BROADCAST_STORES + 1).count() <= BROADCAST_STORES:
+        past = past.join(F.broadcast(stores), "Store", "left_semi")
+    past = past.select("Store", "Date", F.col("Sales").cast("double").alias("__value"), F.lit(False).alias("__ask"))
+    asked = requests.withColumns({"__value": F.lit(None).cast("double"), "__ask": F.lit(True)})
+
+    whole = by_day().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tagged = with_day(asked.unionByName(past, allowMissingColumns=True))
+    since = F.date_sub(F.min(F.when(F.col("__ask"), F.col("Date"))).over(whole), reach)
+    near = tagged.withColumn("__since", since).where(F.col("__ask") | (F.col("Date") >= F.col("__since")))
+    lagged = near.withColumns(lag_expressions(lags, "__value")).where("__ask")
+    return lagged.select(*requests.columns, *lag_columns(lags))
 
 
 def join_lags_back(df: DataFrame, lags: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from daybook.functions import errors
 from daybook.operators import cleaning, diagnostics, eda, evaluation, history, runs
 from daybook.plans.catalog.base import (
     CLEANED, KEYS, PANEL, PRED, PREDICTED, ctes, forecast, i, plain, query, r, s,
@@ -188,7 +189,25 @@ def abs_error_cdf(spark, sf_dir):
     return plain(diagnostics.abs_error_cdf(_pred(spark, sf_dir)), special={"CumulativePct": 8})
 
 
-@query("qq_normal")
+def _poly(coefficients: tuple[float, ...], x: str) -> str:
+    acc = repr(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        acc = f"({acc} * {x} + {c!r})"
+    return acc
+
+
+def _ratio(a: tuple[float, ...], b: tuple[float, ...], x: str) -> str:
+    return f"{_poly(a, x)} / {_poly(b, x)}"
+
+
+_PPF = f"""case when abs(q) <= 0.425 then q * {_ratio(errors._AS241_A, errors._AS241_B, "u")}
+  else sign(q) * case when t <= 5 then {_ratio(errors._AS241_C, errors._AS241_D, "(t - 1.6)")} else {_ratio(errors._AS241_E, errors._AS241_F, "(t - 5)")} end end"""
+
+
+@query("qq_normal", ctes(*PREDICTED, f"""ranked as (select {_E} as v, row_number() over (order by {_E}) as k, cast(count(*) over () as double) as n from pred),
+points as (select v, k, case when k = n then pow(0.5, 1 / n) when k = 1 then 1 - pow(0.5, 1 / n) else (k - 0.3175) / (n + 0.365) end as p from ranked),
+parts as (select *, p - 0.5 as q, 0.180625 - (p - 0.5) * (p - 0.5) as u, sqrt(-ln(least(p, 1 - p))) as t from points)""") + f"""
+select {i("k")} as "Rank", {r(_PPF, 6)} as "Theoretical", {r("v", 6)} as "Residual" from parts""")
 def qq_normal(spark, sf_dir):
     return plain(diagnostics.qq_normal(_pred(spark, sf_dir)), 6)
 

@@ -55,8 +55,8 @@ def history_job(warehouse: Warehouse, cleaned: DataFrame) -> DataFrame:
 def scoring_features(cleaned: DataFrame, past: DataFrame, config: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
     """Features of a batch to score: lags come from the history, fills from the batch itself."""
     base = build_features(cleaned, config, lags=False)
-    keys = cleaned.select("Store", "Date")
-    lagged = base.join(panel.batch_lags(keys, past, config.lag_days), ["Store", "Date"], "left")
+    # Cleaned rows are unique on (Store, Date), so they are the requests themselves and no join is needed.
+    lagged = panel.batch_lags(base, past, config.lag_days, unique=True)
     filled = panel.expanding_fill(lagged, panel.lag_columns(config.lag_days))
     names = [c for c in feature_names(config) if c in filled.columns]
     return filled.select(*names, "Sales", "Date")
