@@ -120,10 +120,10 @@ def detect_outliers(
         return df.withColumn(flag, F.lit(False))
 
     value = F.col(column)
+    df = materialize(df)  # limits first, then the rows themselves
     regime = F.lit(-1)
     narrow = df.select(*[c for c in dict.fromkeys((column, "Promo")) if c in df.columns])
     if "Promo" in df.columns:
-        narrow = materialize(narrow)
         split = narrow.agg((F.min("Promo") != F.max("Promo")).alias("split")).scalar()
         regime = F.when(F.coalesce(split, F.lit(False)), F.when(F.col("Promo").isin(0, 1), F.col("Promo"))).otherwise(-1)
     known = narrow.withColumn("__regime", regime.cast("int")).where(F.col("__regime").isNotNull())

@@ -109,13 +109,13 @@ def success_rate(spark, sf_dir):
     return plain(rate.withColumn("last_success", F.date_format("last_success", "yyyy-MM-dd HH:mm:ss")))
 
 
-@query("failure_streak", ctes(_LOG, """by_dag as (select *, max(case when status <> 'failed' then started_at end) over () as good from log where dag_name = '1-URGENT')""") + f"""
-select {i("count(*) filter (good is null or started_at > good)")} as failure_streak,
+@query("failure_streak", ctes(_LOG, """placed as (select *, max(case when status <> 'failed' then {'t': started_at, 'r': run_id} end) over () as good from log)""") + f"""
+select {i("count(*) filter (good is null or {'t': started_at, 'r': run_id} > good)")} as failure_streak,
        {r("avg(case when status = 'success' then 1.0 else 0.0 end) * 100")} as success_rate,
-       cast(count(*) filter (good is null or started_at > good) >= 2 as bigint) as streak_alert,
-       cast(avg(case when status = 'success' then 1.0 else 0.0 end) * 100 < 80 as bigint) as rate_alert from by_dag""")
+       cast(count(*) filter (good is null or {{'t': started_at, 'r': run_id}} > good) >= 2 as bigint) as streak_alert,
+       cast(avg(case when status = 'success' then 1.0 else 0.0 end) * 100 < 80 as bigint) as rate_alert from placed""")
 def failure_streak(spark, sf_dir):
-    return plain(runs.failure_streak(_log(spark, sf_dir).where("dag_name = '1-URGENT'")))
+    return plain(runs.failure_streak(_log(spark, sf_dir)))
 
 
 @query("recent_failures", ctes(_LOG, _LAST.format(10)) + f"""

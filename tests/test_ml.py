@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.config import DEFAULT_CONFIG
 from daybook.ml import models, split, training
 from daybook.plans import jobs
 from daybook.plans.features import build_features, feature_names
@@ -103,6 +105,14 @@ def test_search_is_seeded(features):
     assert runs[0][0].score <= runs[0][1].score
 
 
+def test_training_searches_when_no_settings_are_given(features):
+    train, test = split.time_split(features)
+    config = replace(DEFAULT_CONFIG, search_trials=2, cv_splits=2)
+    result = models.train_boosted(train, test, config=config, base=models.BoostSettings(max_iter=3))
+    assert result.iterations <= 3 and result.settings.min_rows >= 100
+    assert result.predictions.count() == result.test_rows
+
+
 def test_predict_job(spark, merged, root):
     w = Warehouse(spark, root)
     raw = merged.withColumn("Date", F.col("Date").cast("string")).withColumn("seq", F.lit(1))
