@@ -138,7 +138,8 @@ def prediction_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job run per order: the status, length and size come from the order."""
     price = F.col("o_totalprice")
-    started = F.to_date("o_orderdate").cast("timestamp") + F.make_dt_interval(
+    # Without a time zone, so that the session's does not matter.
+    started = F.to_date("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 86400).cast("decimal(18,6)")
     )
     return table(spark, sf_dir, "orders").select(

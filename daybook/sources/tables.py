@@ -8,6 +8,7 @@ applied.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 
 from daybook.operators import history as history_ops
 from daybook.operators import runs as run_ops
-from daybook.schemas import HISTORY_MAP, PREDICTION_MAP, TABLES, require_columns
+from daybook.schemas import HISTORY_MAP, PREDICTION_MAP, REQUIRED_HISTORY, TABLES, require_columns
+from daybook.session import materialize
 from daybook.sources.files import path_exists
 
 SCHEMA_VERSION = 1
@@ -141,6 +143,8 @@ class Warehouse:
 
     def upsert_history(self, new: DataFrame, order_by: str | None = None) -> int:
         """Adds or replaces rows by (Store, Date). Only the months of the new rows are read and rewritten."""
+        require_columns(new.columns, REQUIRED_HISTORY, "new history rows")
+        new = materialize(new.select(*REQUIRED_HISTORY, *([order_by] if order_by else [])), "upsert")
         months = [r[0] for r in new.select(F.date_format("Date", "yyyy-MM").alias(MONTH)).distinct().collect()]
         months = sorted(m for m in months if m is not None)
         if not months:
@@ -230,9 +234,9 @@ class Warehouse:
     def pipeline_runs(self) -> DataFrame:
         return replace_run_log(self.read("pipeline_runs"))
 
-    def log_model_metrics(self, metrics: dict[str, float], model_version: str | None = None, best_params: dict | None = None, **fields: object) -> None:
-        import json
-
+    def log_model_metrics(
+        self, metrics: dict[str, float], model_version: str | None = None, best_params: dict | None = None, **fields: object
+    ) -> None:
         now = datetime.now()
         self._append("model_metrics", {
             "trained_at": now,

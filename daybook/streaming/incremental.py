@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -43,12 +42,8 @@ def incremental_history(
             # Row ids are not allowed in a streaming plan but fine on the batch.
             batch = batch.withColumn("ingest_seq", F.struct(*ARRIVAL, F.monotonically_increasing_id().alias("row")))
             batch, keys = batch.drop(*ARRIVAL), ["ingest_seq"]
-        cleaned = clean_job(batch, keys, check_fractions=False).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            warehouse.recover()
-            warehouse.upsert_history(cleaned)
-        finally:
-            cleaned.unpersist()
+        warehouse.recover()
+        warehouse.upsert_history(clean_job(batch, keys, check_fractions=False))
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
