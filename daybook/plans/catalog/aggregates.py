@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.functions import errors
-from daybook.operators import cleaning, diagnostics, eda, evaluation, history, runs
+from daybook.operators import cleaning, diagnostics, eda, evaluation, history
 from daybook.plans.catalog.base import (
-    CLEANED, KEYS, PANEL, PRED, PREDICTED, ctes, forecast, i, plain, query, r, s,
+    CLEANED, KEYS, PANEL, PREDICTED, ctes, forecast, i, plain, query, r, s,
 )
 from daybook.sources import retail
 

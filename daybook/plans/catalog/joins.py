@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from daybook.functions import calendar
 from daybook.operators import eda, evaluation, joins, panel
 from daybook.plans.catalog.base import (
-    KEYS, MERGED, PANEL, PRED, PREDICTED, STORE_DIM, ctes, forecast, i, lag_sql, plain, query, r, s,
+    KEYS, MERGED, PANEL, PRED, STORE_DIM, ctes, forecast, i, lag_sql, plain, query, r, s,
 )
-from daybook.plans.catalog.windows import _ASKED, _LAGS, _REQUESTS, _rounded, lag_requests
+from daybook.plans.catalog.windows import _REQUESTS, lag_requests
 from daybook.sources import retail
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import cleaning, evaluation, history, imputation
 from daybook.plans.catalog.base import (
-    CLEANED, COERCED, KEYS, MERGED, PANEL, PRED, PREDICTED, RAW, STORE_DIM, ctes, i, plain, query, r, s,
+    COERCED, KEYS, MERGED, PANEL, PREDICTED, RAW, STORE_DIM, ctes, i, plain, query, r, s,
 )
 from daybook.plans.features import align_features
 from daybook.schemas import HISTORY_MAP

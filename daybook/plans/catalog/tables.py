@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.operators import evaluation, runs
-from daybook.plans.catalog.base import KEYS, PANEL, PRED, PREDICTED, ctes, forecast, i, plain, query, r, s
+from daybook.plans.catalog.base import KEYS, PANEL, PRED, PREDICTED, ctes, i, plain, query, r, s
 from daybook.plans.catalog.joins import PRED_B
 from daybook.session import scratch_path
 from daybook.sources import retail

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from daybook.functions import calendar
 from daybook.operators import cleaning, panel
 from daybook.plans.catalog.base import (
-    COERCED, KEYS, PANEL, RAW, WIDE, ctes, fill_sql, i, lag_sql, plain, query, r, s,
+    KEYS, PANEL, RAW, WIDE, ctes, fill_sql, i, lag_sql, plain, query, r, s,
 )
 from daybook.sources import retail
 
