@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import query_licences, query_passages, query_preference, query_revisits, query_shards, query_tokens  # noqa: F401
+from daybook.llm import query_licences, query_passages, query_preference, query_quality, query_revisits, query_shards, query_tokens  # noqa: F401
 from daybook.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
