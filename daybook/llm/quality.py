@@ -30,7 +30,7 @@ from daybook.llm.registry import staged
 
 BITS = 18
 MOST_TARGETS = 65_536
-SIGNIFICANCE = 3.0
+SIGNIFICANCE = 2.0
 PSEUDO = 1.0
 LOSE = 0.005
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from daybook.llm import query_licences, query_passages, query_preference, query_quality, query_revisits, query_shards, query_tokens  # noqa: F401
+from daybook.llm import (  # noqa: F401
+    query_copies, query_fingerprints, query_licences, query_passages, query_preference, query_quality, query_revisits, query_shards, query_tokens,
+)
 from daybook.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
