@@ -33,7 +33,9 @@ def fingerprints(df: DataFrame, keys: list[str], text: str, name: str, bins: int
     occurrence = F.row_number().over(Window.partitionBy("_g", *keys).orderBy("_i"))
     numbered = kmers.withColumn("_h", F.xxhash64("_g", occurrence)).drop("_g")
     numbered = numbered.withColumn("_bin", F.pmod(F.col("_h"), F.lit(bins)).cast("int"))
-    chosen = numbered.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_bin").orderBy("_h", "_i"))).where("_r <= 2")
+    # A digest of the bin's keys comes first, as the first sort column is the one that Spark compares by prefix.
+    numbered = numbered.withColumn("_k", F.xxhash64(*keys, "_bin"))
+    chosen = numbered.withColumn("_r", F.row_number().over(Window.partitionBy("_k", *keys, "_bin").orderBy("_h", "_i"))).where("_r <= 2")
     # Place and hash in one long, so that the first and the last in the text are a minimum and a maximum.
     packed = F.shiftleft(F.col("_i").cast("long"), 32).bitwiseOR(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF)))
     tuples = chosen.groupBy(*keys, "_bin").agg(F.min(packed).alias("_a"), F.max(packed).alias("_b"))
@@ -51,7 +53,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda e: F.lpad(F.lower(F.hex(e)), 8, "0")), "")
+    return F.array_join(F.transform(fingerprint, lambda e: F.lpad(F.lower(F.hex(e.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def successors(df: DataFrame, key: str, value: str, parts: int) -> DataFrame:
