@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from daybook.llm.arrowmap import lists, over_texts
 from daybook.llm.byteops import flat, gram_hashes, lower, mix, word_hashes, words
 from daybook.llm.decontaminate import WORD
-from daybook.llm.registry import staged
+from daybook.llm.registry import filtered, staged
 
 WORDS = 5
 LEAST = 0.8
@@ -235,6 +235,10 @@ def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **sett
     found, _ = classes(df, doc_id, text, **settings)
     first = found.groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
     first = first.select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
-    marked = df.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
-    kept = marked.join(first, (F.col("_digest") == F.col("_key")) & F.col(doc_id).eqNullSafe(F.col("_id")))
-    return kept.dropDuplicates(["_digest"]).select(df.columns)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumn("_digest", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+        kept = marked.join(first, (F.col("_digest") == F.col("_key")) & F.col(doc_id).eqNullSafe(F.col("_id")))
+        return kept.dropDuplicates(["_digest"])
+
+    return filtered(df, ["_digest", "_id", "_key"], keep)

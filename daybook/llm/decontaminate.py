@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from daybook.llm.arrowmap import lists, over_texts
 from daybook.llm.byteops import flat, gram_hashes, lower, word_hashes, words
-from daybook.llm.registry import staged
+from daybook.llm.registry import filtered, staged
 
 SIZE = 10
 BLOCK_BYTES = 16 << 20
@@ -296,6 +296,4 @@ def _distinct_items(df: DataFrame) -> DataFrame:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The documents with no benchmark window in them, with their own columns only."""
-    found = find_passages(docs.withColumns({f"_own_{c}": F.col(c) for c in docs.columns if c in OUTPUT}), items, **settings)
-    found = found.where("n_hit = 0")
-    return found.select([F.col(f"_own_{c}").alias(c) if c in OUTPUT else F.col(c) for c in docs.columns])
+    return filtered(docs, [*OUTPUT, "_row"], lambda df: find_passages(df, items, **settings).where("n_hit = 0"))

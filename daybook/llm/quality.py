@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from daybook.llm.arrowmap import over_texts
 from daybook.llm.byteops import flat, lower, mix, slices, word_hashes
-from daybook.llm.registry import staged
+from daybook.llm.registry import filtered, staged
 
 BITS = 18
 MOST_TARGETS = 65_536
@@ -166,6 +166,4 @@ def resample(
 
 def keep_good(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """The documents that the resampling keeps, with their own columns."""
-    named = docs.withColumns({f"_own_{c}": F.col(c) for c in ("log_weight", "gumbel_key", "kept") if c in docs.columns})
-    kept = resample(named, labels, **settings).where("kept")
-    return kept.select([F.col(f"_own_{c}").alias(c) if f"_own_{c}" in kept.columns else F.col(c) for c in docs.columns])
+    return filtered(docs, ["log_weight", "gumbel_key", "kept"], lambda df: resample(df, labels, **settings).where("kept"))

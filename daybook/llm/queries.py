@@ -3,7 +3,17 @@
 from __future__ import annotations
 
 from daybook.llm import (  # noqa: F401
-    query_copies, query_fingerprints, query_licences, query_passages, query_preference, query_quality, query_repeats, query_revisits, query_shards, query_tokens,
+    query_copies,
+    query_fingerprints,
+    query_licences,
+    query_passages,
+    query_pipeline,
+    query_preference,
+    query_quality,
+    query_repeats,
+    query_revisits,
+    query_shards,
+    query_tokens,
 )
 from daybook.llm.registry import ORACLE, QUERIES
 

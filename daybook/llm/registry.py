@@ -32,3 +32,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def filtered(df: DataFrame, made: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`work(df)` with the columns of `df` only: own columns that are called like those in `made` are put aside meanwhile."""
+    aside = {c: f"own {k} {c}" for k, c in enumerate(df.columns) if c in made}
+    out = work(df.withColumnsRenamed(aside))
+    return out.select([out[f"`{aside[c]}`"].alias(c) if c in aside else out[f"`{c}`"] for c in df.columns])

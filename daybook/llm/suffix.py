@@ -241,7 +241,7 @@ def spans(df: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHOR,
 _REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _remove(length: int, text: str):
+def _remove(length: int, text: str, as_text: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -265,21 +265,27 @@ def _remove(length: int, text: str):
             flat_ = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
             struct = pa.StructArray.from_arrays([pa.array(flat_(starts)), pa.array(flat_(ends))], ["start", "end"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + [pa.array(sizes, pa.int64()), lists(struct, np.array(counts, np.int64)), pa.array(kept, pa.binary())],
-                names=[*names, "n_bytes", "removed", "kept"],
+                [batch.column(n) for n in names]
+                + [pa.array(sizes, pa.int64()), lists(struct, np.array(counts, np.int64)), pa.array(kept, pa.binary())]
+                + [pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] * as_text,
+                names=[*names, "n_bytes", "removed", "kept"] + ["kept_text"] * as_text,
             )
 
     return work
 
 
-def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, **settings) -> DataFrame:
-    """`df` with n_bytes, removed (maximal byte runs) and kept (the other bytes); columns of these names are replaced."""
+def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_text: bool = False, **settings) -> DataFrame:
+    """`df` with n_bytes, removed (maximal byte runs) and kept (the other bytes); columns of these names are replaced.
+
+    as_text: kept_text as well, without the characters that a removal has cut in two.
+    """
     found = staged(spans(df, text, length, **settings), "spans")
-    own = [c for c in df.columns if c not in ("n_bytes", "removed", "kept")]
+    made = ["n_bytes", "removed", "kept"] + ["kept_text"] * as_text
+    own = [c for c in df.columns if c not in made]
     rows = df.select(own).withColumn("_key", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
     rows = rows.join(found.select(F.col("key").alias("_key"), F.col("copies").alias("_copies"), F.col("spans").alias("_spans")), "_key", "left")
     schema = T.StructType(
         [df.schema[c] for c in own]
-        + [T.StructField("n_bytes", T.LongType()), T.StructField("removed", _REMOVED), T.StructField("kept", T.BinaryType())]
+        + [T.StructField(n, k) for n, k in zip(made, (T.LongType(), _REMOVED, T.BinaryType(), T.StringType()))]
     )
-    return rows.drop("_key").mapInArrow(_remove(length, text), schema)
+    return rows.drop("_key").mapInArrow(_remove(length, text, as_text), schema)
