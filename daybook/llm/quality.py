@@ -111,7 +111,7 @@ def weigh(df: DataFrame, ratio: np.ndarray, text: str = "text", name: str = "log
 
     def work(column: pa.Array) -> dict[str, pa.Array]:
         buckets, row = features(column, bits)
-        return {name: pa.array(np.bincount(row, weights=shared.value[buckets], minlength=len(column)))}
+        return {name: pa.array(np.bincount(row, weights=shared.value[buckets], minlength=len(column)).astype(float))}
 
     return over_texts(df, text, {name: T.DoubleType()}, work)
 
