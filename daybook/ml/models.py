@@ -98,7 +98,7 @@ def baselines(train: DataFrame, test: DataFrame, forest: ForestSettings = Forest
                     )
                 rows.append(tuple(_metrics_row(name, scored, time.monotonic() - started).first()))
             except Exception as error:  # noqa: BLE001 - reported as a row
-                rows.append((name, *[None] * 9, 0.0, str(error)[:2000]))
+                rows.append((name, *[None] * 9, 0.0, str(error)))
     finally:
         fit_rows.unpersist()
     return spark.createDataFrame(rows, METRIC_SCHEMA), models

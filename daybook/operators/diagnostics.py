@@ -92,8 +92,8 @@ def qq_fit(points: DataFrame) -> DataFrame:
     )
 
 
-def residual_acf(df: DataFrame, max_lag: int = ACF_LAGS) -> DataFrame:
-    """Autocorrelation per store over row lags, averaged over the stores with more than max_lag + 1 rows.
+def _acf_sums(df: DataFrame, max_lag: int) -> DataFrame:
+    """Rows and sums of lagged products p0..p<max_lag> of each store's centred residuals.
 
     All lags are read from one sorted window per store (a store has one row per day); no self join.
     """
@@ -105,32 +105,42 @@ def residual_acf(df: DataFrame, max_lag: int = ACF_LAGS) -> DataFrame:
     lagged = centred.select(
         "Store", "z", *[(F.col("z") * F.lag("z", k).over(ordered)).alias(f"p{k}") for k in range(1, max_lag + 1)]
     )
-    per_store = lagged.groupBy("Store").agg(
+    return lagged.groupBy("Store").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("z") * F.col("z")).alias("p0"),
         *[F.sum(f"p{k}").alias(f"p{k}") for k in range(1, max_lag + 1)],
     )
+
+
+def _acf_rows(means: DataFrame, max_lag: int) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"r{k}").alias("acf")) for k in range(max_lag + 1)])
+    return means.select(
+        F.inline(pairs), (F.lit(1.96) / F.sqrt("avg_rows")).alias("band"), "stores_used"
+    ).where(F.col("acf").isNotNull())
+
+
+def residual_acf(df: DataFrame, max_lag: int = ACF_LAGS) -> DataFrame:
+    """Autocorrelation per store over row lags, averaged over the stores with more than max_lag + 1 rows."""
     usable = (F.col("n") > max_lag + 1) & (F.col("p0") > 0)
-    means = per_store.agg(
+    means = _acf_sums(df, max_lag).agg(
         F.avg("n").alias("avg_rows"),
         F.count_if(usable).alias("stores_used"),
         *[F.avg(F.when(usable, F.col(f"p{k}") / F.col("p0"))).alias(f"r{k}") for k in range(max_lag + 1)],
     )
-    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"r{k}").alias("acf")) for k in range(max_lag + 1)])
-    return means.select(
-        F.inline(pairs), (F.lit(1.96) / F.sqrt("avg_rows")).alias("band"), "stores_used"
-    ).where(F.col("acf").isNotNull())
+    return _acf_rows(means, max_lag)
 
 
-def residual_acf_pooled(df: DataFrame, rows: int = 5000, max_lag: int = ACF_LAGS) -> DataFrame:
-    """The same over the first `rows` rows by (Store, Date) as one series: the fallback for short histories."""
-    head = df.orderBy("Store", "Date").limit(rows)
-    series = head.select(
-        F.lit(0).alias("Store"),
-        F.row_number().over(Window.orderBy("Store", "Date")).alias("Date"),  # at most `rows` rows
-        "ActualSales", "PredictedSales",
+def residual_acf_pooled(df: DataFrame, max_lag: int = ACF_LAGS) -> DataFrame:
+    """One estimate from all rows of all stores, for histories too short for one per store.
+
+    Products never span two stores: the sums of the stores' lagged products over the sum of their squares.
+    """
+    pooled = _acf_sums(df, max_lag).agg(
+        F.sum("n").alias("avg_rows"),
+        F.count(F.lit(1)).alias("stores_used"),
+        *[F.try_divide(F.sum(f"p{k}"), F.sum("p0")).alias(f"r{k}") for k in range(max_lag + 1)],
     )
-    return residual_acf(series, max_lag).withColumn("stores_used", F.lit(0))
+    return _acf_rows(pooled, max_lag)
 
 
 # --- distribution of the signed percentage error ----------------------------------------------------------

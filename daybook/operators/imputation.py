@@ -66,10 +66,10 @@ def _fill_mode(df: DataFrame, columns: Sequence[str], default: Column, cast: str
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    modes = column_modes(df, columns)
+    modes = column_modes(df, columns).select(F.struct(*columns)).scalar()  # one subquery for all columns
     filled = {}
     for c in columns:
-        mode = modes.select(c).scalar()
+        mode = modes[c]
         value = F.coalesce(F.col(c), mode.cast("double").cast("int") if cast else mode, default)
         filled[c] = value.cast(cast) if cast else value
     return df.withColumns(filled)

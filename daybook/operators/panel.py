@@ -180,7 +180,14 @@ def lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_CONFIG.lag_days) -
     return staged.withColumns(expanding_fill_expressions(lag_columns(lags))).drop(DAY)
 
 
-BROADCAST_STORES = 100_000  # integer keys; a few megabytes at most
+def history_reach(lags: Sequence[int] = DEFAULT_CONFIG.lag_days) -> int:
+    """Days of history before a requested day that its lags and fills can look at."""
+    return 2 * max(lags) + 30
+
+
+def history_since(requests: DataFrame, lags: Sequence[int] = DEFAULT_CONFIG.lag_days):
+    """First day of history that any request needs; None without requests."""
+    return requests.agg(F.date_sub(F.min("Date"), history_reach(lags))).first()[0]
 
 
 def batch_lags(
@@ -191,18 +198,17 @@ def batch_lags(
     Requests join the history as rows without a value; every frame ends the day before, so a history row of the
     requested day never leaks. History is cut to the days the frames can reach. With `unique` the caller vouches
     that no pair repeats and everything runs in one exchange by Store; otherwise equal pairs are computed once
-    (a pair may repeat without bound) and fan out in a final join.
+    (a pair may repeat without bound) and fan out in a final join. Pass a history cut by `Warehouse.load_history(since)`
+    with `history_since` to leave out whole months.
     """
     if not unique:
         keys = requests.select("Store", "Date").distinct()
         return join_lags_back(requests, batch_lags(keys, history, lags, unique=True))
 
-    reach = 2 * max(lags) + 30
+    reach = history_reach(lags)
     first_day = requests.agg(F.date_sub(F.min("Date"), reach)).scalar()
-    past = history.where(F.col("Date") >= first_day)  # prunes month partitions
-    stores = requests.select("Store").distinct()
-    if stores.limit(BROADCAST_STORES + 1).count() <= BROADCAST_STORES:
-        past = past.join(F.broadcast(stores), "Store", "left_semi")
+    past = history.where(F.col("Date") >= first_day)
+    past = past.join(requests.select("Store").distinct(), "Store", "left_semi")  # the planner sends a small side to all tasks
     past = past.select("Store", "Date", F.col("Sales").cast("double").alias("__value"), F.lit(False).alias("__ask"))
     asked = requests.withColumns({"__value": F.lit(None).cast("double"), "__ask": F.lit(True)})
 

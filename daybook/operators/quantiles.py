@@ -1,9 +1,9 @@
 """Exact quantiles and ranks over any number of rows.
 
-`percentile` keeps one counter per *distinct* value of a group in a single task. That is the best plan while
-the distinct values are few, so their number is measured first. Beyond the limit the values are ranked with
-distributed sorts: distinct values are counted (map-side combined, ties collapse), cut into value ranges of
-similar size, each range is ranked on its own and shifted by the total of the ranges before it.
+Values are counted first: ties collapse on the map side and the counts spread over all reducers. While a group's
+distinct values are few (their number is measured), one task takes the percentiles from the counted values. Beyond the
+limit the counted values are cut into ranges of similar size, each range is ranked on its own and shifted by the
+total of the ranges before it. NaN is the largest value on both ways.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DISTINCT_LIMIT = 1_000_000  # distinct values one task may hold
-MAX_RANGES = 10_000
 TIE_CHUNK = 1_000_000  # rows one explode may produce from a single tied value
 
 
@@ -37,9 +36,8 @@ def exact_percentiles(
     values = df.select(*by, value.cast("double").alias("__v")).where(F.col("__v").isNotNull())
     probs = [float(p) for p in probabilities]
     if distinct_estimate(values, *by, "__v") <= distinct_limit:
-        return values.groupBy(*by).agg(
-            F.percentile("__v", F.array(*[F.lit(p) for p in probs])).alias(name)
-        )
+        counted = values.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+        return counted.groupBy(*by).agg(F.percentile("__v", F.array(*[F.lit(p) for p in probs]), F.col("__c")).alias(name))
     return _percentiles_from_ranks(value_ranks(values, by), probs, by, name)
 
 
@@ -47,13 +45,13 @@ def value_ranks(values: DataFrame, by: Sequence[str] = (), ranges: int | None =
     """Distinct `__v` per group with its multiplicity `__c` and last 1-based rank `__end`."""
     cells = values.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
     if ranges is None:
-        ranges = min(MAX_RANGES, math.ceil(distinct_estimate(values, *by, "__v") / DISTINCT_LIMIT))
+        ranges = math.ceil(distinct_estimate(values, *by, "__v") / DISTINCT_LIMIT)
     cells = _value_range(cells, ranges)
     in_range = Window.partitionBy(*by, "__range").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = cells.withColumn("__end", F.sum("__c").over(in_range))
     if ranges <= 1:
         return ranked.drop("__range")
-    # At most MAX_RANGES rows per group, so this window is small however large the input is.
+    # One row per million distinct values of a group, so this window is small.
     before = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cells.groupBy(*by, "__range")
@@ -93,10 +91,11 @@ def _value_range(cells: DataFrame, ranges: int) -> DataFrame:
         return cells.withColumn("__range", F.lit(0.0))
     grid = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = cells.agg(F.percentile_approx("__v", grid, F.lit(min(20 * ranges, 1_000_000))).alias("q")).first()["q"]
-    splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
+    splits = [-math.inf, *sorted({c for c in cuts or [] if math.isfinite(c)}), math.inf]
     if len(splits) < 3:
         return cells.withColumn("__range", F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol="__v", outputCol="__range").transform(cells)
+    # "keep" puts NaN into a range of its own after the others.
+    return Bucketizer(splits=splits, inputCol="__v", outputCol="__range", handleInvalid="keep").transform(cells)
 
 
 def _percentiles_from_ranks(ranks: DataFrame, probs: Sequence[float], by: Sequence[str], name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from daybook.plans.catalog import (  # noqa: F401 - importing registers the queries
     aggregates,
+    answers,
     files,
     jobs,
     joins,

@@ -101,7 +101,7 @@ def feature_job(spark, sf_dir):
 select {i("count(*)")} as total_records, {i('count(distinct "Store")')} as unique_stores,
        {s('min("Date")')} || ' - ' || {s('max("Date")')} as date_range, {i('max("Date") - min("Date")')} as date_coverage_days from clean""")
 def history_job(spark, sf_dir):
-    cleaned = jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"], check_fractions=False)
+    cleaned = jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"])
     return plain(jobs.history_job(fresh_warehouse(spark, "history_job"), cleaned))
 
 
@@ -160,7 +160,7 @@ def step_log(spark, sf_dir):
     staged = scratch_path(spark, "step-log")
 
     def preprocess():
-        files.sink_stage(jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"], check_fractions=False), staged)
+        files.sink_stage(jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"]), staged)
         return {"records_processed": files.scan_stage(spark, staged).count()}
 
     def create_features():

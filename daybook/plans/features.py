@@ -110,17 +110,3 @@ def align_features(df: DataFrame, model_features: Sequence[str] | None) -> DataF
     have = set(df.columns)
     keep = [c for c in ("Date", "Sales") if c in have]
     return df.select(*[F.col(c) if c in have else F.lit(None).cast("double").alias(c) for c in model_features], *keep)
-
-
-def feature_statistics(names: Sequence[str]) -> dict[str, int]:
-    """Number of features per (overlapping) category, by name."""
-    categories = {
-        "temporal": ("Year", "Month", "Week", "Day", "Season", "Weekend"),
-        "promo": ("Promo",),
-        "holiday": ("Holiday",),
-        "lag": ("Lag", "Rolling"),
-        "store": ("StoreType", "Assortment"),
-        "competition": ("Competition",),
-    }
-    counts = {k: sum(any(part in n for part in parts) for n in names) for k, parts in categories.items()}
-    return {"total_features": len(names), **counts}

@@ -78,20 +78,20 @@ def predict_job(
     """
     spark = merged.sparkSession
     staged = scratch_path(spark, "cleaned")
-    sink_stage(clean_job(merged, order_by, check_fractions=False), staged)
+    sink_stage(clean_job(merged, order_by), staged)
     cleaned = spark.read.parquet(staged)
+    if cleaned.isEmpty():
+        raise ValueError("no rows left to predict after cleaning")
     warehouse.upsert_history(cleaned)
-    features = scoring_features(cleaned, warehouse.load_history(), config)
+    past = warehouse.load_history(since=panel.history_since(cleaned, config.lag_days))
+    features = scoring_features(cleaned, past, config)
     scored = score(align_features(features, model_features))
     results = evaluation.enrich_errors(
         scored.select("Store", "Date", "PredictedSales", F.col("Sales").alias("ActualSales"))
     )
     run_id = run_id or new_run_id()
     warehouse.append_predictions(results, run_id)
-    stored = warehouse.run_predictions(run_id)
-    if stored.isEmpty():
-        raise ValueError("no rows left to predict after cleaning")
-    return run_id, stored
+    return run_id, warehouse.run_predictions(run_id)
 
 
 def validate_job(predictions: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ class StepLog:
         except Exception as error:
             self.warehouse.log_run(
                 self.run_id, step, "failed", started_at=started, duration_seconds=time.monotonic() - clock,
-                error_message=str(error)[:2000],
+                error_message=str(error),
             )
             raise
         self.warehouse.log_run(

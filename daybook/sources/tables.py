@@ -137,16 +137,28 @@ class Warehouse:
 
     # --- sales history ------------------------------------------------------------------------------------
 
-    def load_history(self) -> DataFrame:
-        """CamelCase history; order it at the sink if a reader needs order."""
-        return from_table_columns(self.read("sales_history"), HISTORY_MAP)
+    def load_history(self, since: date | str | None = None, until: date | str | None = None) -> DataFrame:
+        """CamelCase history of the days from `since` to `until`; other months are not opened. Order it at the sink."""
+        stored = self.read("sales_history")
+        for bound, sign in ((since, ">="), (until, "<=")):
+            if bound is not None:
+                stored = stored.where(F.expr(f"date {sign} date '{bound}'"))
+                if MONTH in stored.columns:
+                    stored = stored.where(F.expr(f"{MONTH} {sign} '{str(bound)[:7]}'"))
+        return from_table_columns(stored, HISTORY_MAP)
 
     def upsert_history(self, new: DataFrame, order_by: str | None = None) -> int:
-        """Adds or replaces rows by (Store, Date). Only the months of the new rows are read and rewritten."""
+        """Adds or replaces rows by (Store, Date). Only the months of the new rows are read and rewritten.
+
+        Both are keys, so a row without one of them is an error and nothing is written.
+        """
         require_columns(new.columns, REQUIRED_HISTORY, "new history rows")
         new = materialize(new.select(*REQUIRED_HISTORY, *([order_by] if order_by else [])), "upsert")
-        months = [r[0] for r in new.select(F.date_format("Date", "yyyy-MM").alias(MONTH)).distinct().collect()]
-        months = sorted(m for m in months if m is not None)
+        keyed = F.col("Store").isNotNull() & F.col("Date").isNotNull()
+        months = new.select(F.when(keyed, F.date_format("Date", "yyyy-MM")).alias(MONTH)).distinct().collect()
+        if any(r[0] is None for r in months):
+            raise ValueError("new history rows: Store and Date must not be null")
+        months = sorted(r[0] for r in months)
         if not months:
             return 0
         path, fs = self._fs()
@@ -189,15 +201,23 @@ class Warehouse:
         target = f"{self.path('predictions')}/run_id={run_id}"
         if path_exists(self.spark, target):
             raise ValueError(f"run {run_id} is stored already")
-        repeated = df.groupBy("Store", "Date").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
-        if not repeated.isEmpty():
-            raise ValueError(f"run {run_id}: (Store, Date) is not unique")
         rows = to_table_columns(df, PREDICTION_MAP)
         typed = rows.select(*[
             (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in TABLES["predictions"].fields if f.name not in ("run_id", "created_at")
         ]).withColumn("created_at", F.current_timestamp())
-        typed.write.mode("errorifexists").parquet(target)
+        # The rows are written aside, checked there and then published, so that the scoring plan runs once.
+        side = f"{self.root}/_pending/{uuid.uuid4().hex}"
+        typed.write.parquet(side)
+        path, fs = self._fs()
+        written = self.spark.read.schema(typed.schema).parquet(side)
+        repeated = written.groupBy("store_id", "date").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not repeated.isEmpty():
+            fs.delete(path(side), True)
+            raise ValueError(f"run {run_id}: (Store, Date) is not unique")
+        fs.mkdirs(path(target).getParent())
+        if not fs.rename(path(side), path(target)):
+            raise OSError(f"could not move {side} to {target}")
         return run_id
 
     def predictions(self) -> DataFrame:

@@ -43,7 +43,7 @@ def incremental_history(
             batch = batch.withColumn("ingest_seq", F.struct(*ARRIVAL, F.monotonically_increasing_id().alias("row")))
             batch, keys = batch.drop(*ARRIVAL), ["ingest_seq"]
         warehouse.recover()
-        warehouse.upsert_history(clean_job(batch, keys, check_fractions=False))
+        warehouse.upsert_history(clean_job(batch, keys))
 
     writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(apply)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

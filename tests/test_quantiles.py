@@ -51,3 +51,11 @@ def test_no_values(spark):
     df = spark.createDataFrame([], "v double")
     assert quantiles.exact_percentiles(df, F.col("v"), (0.5,)).first()["q"] is None
     assert quantiles.ranked_rows(df.withColumnRenamed("v", "__v"), ranges=1).count() == 0
+
+
+@pytest.mark.parametrize("limit", [10**6, 10])
+def test_nan_is_the_largest_value_on_both_paths(spark, monkeypatch, limit):
+    monkeypatch.setattr(quantiles, "DISTINCT_LIMIT", 20)
+    df = spark.createDataFrame([(float(i),) for i in range(50)] + [(float("nan"),)], "v double")
+    got = quantiles.exact_percentiles(df, F.col("v"), [0.5, 1.0], distinct_limit=limit).first()["q"]
+    assert got[0] == 25.0 and np.isnan(got[1])

@@ -140,3 +140,26 @@ def test_history_slices_and_statistics(spark):
     with pytest.raises(ValueError):
         history.one_store_stats(df, 9)
     assert history.removed_by_retention(df, "2024-01-01").first().removed == 1
+
+
+def test_history_rows_without_a_key_are_an_error(spark, root):
+    warehouse = Warehouse(spark, root)
+    day = "cast('2024-01-0{}' as date)"
+    rows = "select {} as Store, {} as Date, 1.0D as Sales, 1 as DayOfWeek, 0 as Promo, '0' as StateHoliday, 0 as SchoolHoliday"
+    for bad in (("cast(null as int)", day.format(1)), ("1", "cast(null as date)")):
+        with pytest.raises(ValueError, match="null"):
+            warehouse.upsert_history(spark.sql(rows.format(*bad) + " union all " + rows.format("2", day.format(2))))
+    assert warehouse.load_history().count() == 0
+
+
+def test_history_bounds_prune_months(spark, root):
+    warehouse = Warehouse(spark, root)
+    rows = spark.sql(
+        "select 1 as Store, date_add(date '2024-01-01', cast(id as int)) as Date, 1.0D as Sales, 1 as DayOfWeek, 0 as Promo, "
+        "'0' as StateHoliday, 0 as SchoolHoliday from range(200)"
+    )
+    warehouse.upsert_history(rows)
+    some = warehouse.load_history("2024-02-10", "2024-03-20")
+    assert some.count() == 40
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "2024-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
