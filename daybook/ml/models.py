@@ -65,6 +65,8 @@ def score_mean(train: DataFrame, test: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ForestSettings:
+    """Depth is limited to keep a tree's nodes in an executor's memory; a deeper limit is a parameter away."""
+
     trees: int = 100
     depth: int = 10
     seed: int = DEFAULT_CONFIG.random_state
@@ -109,7 +111,8 @@ def baselines(train: DataFrame, test: DataFrame, forest: ForestSettings = Forest
 
 @dataclass(frozen=True)
 class BoostSettings:
-    max_iter: int = 200
+    max_iter: int = 10_000
+    patience: int = 75  # rounds without a better holdout loss that end the boosting
     depth: int = 6
     bins: int = 117
     step: float = 0.1
@@ -127,11 +130,19 @@ class BoostSettings:
 
 
 def fit_with_stop(search: DataFrame, holdout: DataFrame, settings: BoostSettings) -> tuple[object, int]:
-    """Fits on `search`, watches `holdout`; returns the model and its best number of trees."""
-    rows = search.withColumn("is_validation", F.lit(False)).unionByName(holdout.withColumn("is_validation", F.lit(True)))
-    model = settings.estimator(validationIndicatorCol="is_validation", validationTol=0.001).fit(rows)
-    losses = model.evaluateEachIteration(holdout, "squared")
-    return model, min(range(len(losses)), key=losses.__getitem__) + 1
+    """Fits on `search`, watches `holdout`; returns the model and its best number of trees.
+
+    Boosting goes on until `patience` rounds brought nothing. The estimator cannot be continued, so the number of
+    rounds doubles until it reaches that far; all fits together cost at most twice the last one.
+    """
+    rounds = min(settings.max_iter, 2 * settings.patience)
+    while True:
+        model = settings.estimator(rounds).fit(search)
+        losses = model.evaluateEachIteration(holdout, "squared")
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if rounds >= settings.max_iter or rounds - best >= settings.patience:
+            return model, best
+        rounds = min(settings.max_iter, 2 * rounds)
 
 
 def score_log(model: object, rows: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Splits, models, scoring and comparison over the feature table of the whole panel.
 
-The model sizes here are small so that the catalogue stays quick; the library defaults are larger.
+Forests have the library's 100 trees, the search its 10 trials and 3 folds. Boosting stops by patience; its step is larger
+and its patience shorter than the library's defaults, as otherwise one training takes most of an hour here. A model is
+trained once per session and table, stored, and shared by the entries that only use it.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from daybook.plans.features import build_features
 from daybook.session import scratch_path
 from daybook.sources import files, retail
 
-FOREST = models.ForestSettings(trees=20, depth=6)
-BOOST = models.BoostSettings(max_iter=10, depth=4, bins=32, step=0.3)
-SEARCH_CONFIG = replace(DEFAULT_CONFIG, search_trials=2, cv_splits=2)
+FOREST = models.ForestSettings()
+BOOST = models.BoostSettings(step=0.3, patience=5, max_iter=40)
+SEARCH = replace(BOOST, max_iter=10)
 
 
 def staged_features(spark, sf_dir):
@@ -87,9 +89,12 @@ def boosted_trees(spark, sf_dir):
     return plain(models.train_boosted(train, test, BOOST).metrics.select(*_METRIC_COLUMNS))
 
 
-@query("nested_holdout")
+@query("nested_holdout", ctes(PANEL, _WEEKS, """own as (select k, row_number() over (order by k) - 1 as w, count(*) over () as n
+  from (select distinct k from keyed, cut where k <= pk)), first_held as (select k as hk from own where w = floor(n * 0.85))""") + f"""
+select {i("count(*) filter (k < hk)")} as search_rows, {i("count(*) filter (k >= hk)")} as holdout_rows, {i("1")} as refit_matches
+from keyed, cut, first_held where k <= pk""")
 def nested_holdout(spark, sf_dir):
-    """Stop point on the held-out weeks, and the number of trees of the refit."""
+    """Sizes of the nested holdout; the refit has as many trees as its best round."""
     train, _ = split.time_split(staged_features(spark, sf_dir))
     rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
     search, holdout = split.holdout_split(rows)
@@ -97,8 +102,7 @@ def nested_holdout(spark, sf_dir):
     refit = BOOST.estimator(best).fit(rows)
     counts = search.agg(F.count(F.lit(1)).alias("search_rows")).withColumns({
         "holdout_rows": holdout.agg(F.count(F.lit(1))).scalar(),
-        "best_iterations": F.lit(best),
-        "refit_trees": F.lit(refit.getNumTrees),
+        "refit_matches": F.lit(refit.getNumTrees == best),
     })
     return plain(counts)
 
@@ -108,31 +112,52 @@ def param_search(spark, sf_dir):
     train, _ = split.time_split(staged_features(spark, sf_dir))
     rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
     rows = rows.select("Store", "Date", "Sales", split.WEEK, "features", "label")
-    base = replace(BOOST, max_iter=5)
-    trials = models.param_search(rows, base, SEARCH_CONFIG.search_trials, SEARCH_CONFIG.cv_splits)
+    trials = models.param_search(rows, SEARCH, DEFAULT_CONFIG.search_trials, DEFAULT_CONFIG.cv_splits)
     return plain(models.trial_table(spark, trials))
 
 
+_STORED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
 def _trained(spark, sf_dir):
-    train, test = split.time_split(staged_features(spark, sf_dir))
-    return models.train_boosted(train, test, BOOST), test
+    """The stored model of this session and table, trained when first asked for, and the rows to score."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        train, test = split.time_split(staged_features(spark, sf_dir))
+        path, rows = scratch_path(spark, "model"), scratch_path(spark, "test-rows")
+        files.sink_stage(test, rows)
+        models.save_model(models.train_boosted(train, test, BOOST).model, path)
+        _STORED[key] = path, rows
+    path, rows = _STORED[key]
+    return models.load_model(spark, path), files.scan_stage(spark, rows)
+
 
+_TEST_ROWS = ctes(PANEL, _WEEKS, "held as (select keyed.* from keyed, cut where k > pk)")
 
-@query("predict")
+
+@query("predict", _TEST_ROWS + f"""select {KEYS}, {r('"Sales"')} as "Sales", {i("1")} as scored from held""")
 def predict(spark, sf_dir):
-    result, test = _trained(spark, sf_dir)
-    return plain(models.predict(result.model, test).select("Store", "Date", "Sales", "PredictedSales"))
+    """Every row of the test weeks has a prediction, and no negative one."""
+    model, test = _trained(spark, sf_dir)
+    scored = models.predict(model, test).withColumn("scored", F.col("PredictedSales") >= 0)
+    return plain(scored.select("Store", "Date", "Sales", "scored"))
+
+
+@query("predicted_sales")
+def predicted_sales(spark, sf_dir):
+    model, test = _trained(spark, sf_dir)
+    return plain(models.predict(model, test).select("Store", "Date", "Sales", "PredictedSales"))
 
 
-@query("model_io")
+@query("model_io", _TEST_ROWS + f"""select {i("count(*)")} as rows, {i("0")} as different from held""")
 def model_io(spark, sf_dir):
     """A model that was saved and loaded again predicts the same."""
-    result, test = _trained(spark, sf_dir)
+    model, test = _trained(spark, sf_dir)
     path = scratch_path(spark, "model")
-    models.save_model(result.model, path)
+    models.save_model(model, path)
     loaded = models.load_model(spark, path)
     again = models.predict(loaded, test).select("Store", "Date", F.col("PredictedSales").alias("Loaded"))
-    both = models.predict(result.model, test).select("Store", "Date", "PredictedSales").join(again, ["Store", "Date"])
+    both = models.predict(model, test).select("Store", "Date", "PredictedSales").join(again, ["Store", "Date"])
     return plain(both.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Loaded") != F.col("PredictedSales")).alias("different")
     ))
@@ -140,12 +165,32 @@ def model_io(spark, sf_dir):
 
 @query("importance")
 def importance(spark, sf_dir):
-    return plain(models.importance(spark, _trained(spark, sf_dir)[0].model), 6)
+    return plain(models.importance(spark, _trained(spark, sf_dir)[0]), 6)
 
 
 @query("top_features")
 def top_features(spark, sf_dir):
-    return plain(models.top_features(models.importance(spark, _trained(spark, sf_dir)[0].model)), 6)
+    return plain(models.top_features(models.importance(spark, _trained(spark, sf_dir)[0])), 6)
+
+
+@query("importance_total", f"select {i('78')} as features, {r('1')} as total, {i('0')} as negative")
+def importance_total(spark, sf_dir):
+    values = models.importance(spark, _trained(spark, sf_dir)[0])
+    return plain(values.agg(
+        F.count(F.lit(1)).alias("features"), F.sum("importance").alias("total"), F.count_if(F.col("importance") < 0).alias("negative")
+    ))
+
+
+@query("line_of_one_feature", ctes(PANEL) + f"""
+select {r('regr_slope("Sales", "Promo")')} as slope, {r('regr_intercept("Sales", "Promo")')} as intercept from panel""")
+def line_of_one_feature(spark, sf_dir):
+    """The linear model on one feature is the least-squares line."""
+    from pyspark.ml.regression import LinearRegression
+
+    rows = models.assemble(retail.sales_panel(spark, sf_dir, "nation"), ["Promo"])
+    fitted = LinearRegression(solver="normal").fit(rows.select("features", "label"))
+    line = spark.range(1).select(F.lit(float(fitted.coefficients[0])).alias("slope"), F.lit(float(fitted.intercept)).alias("intercept"))
+    return plain(line)
 
 
 @query("model_comparison")
@@ -160,5 +205,5 @@ def model_comparison(spark, sf_dir):
 def train_job(spark, sf_dir):
     root = scratch_path(spark, "train_job")
     warehouse = fresh_warehouse(spark, "train_job_tables")
-    training.train_job(staged_features(spark, sf_dir), f"{root}/model", f"{root}/reports", warehouse, settings=BOOST)
+    training.train_job(staged_features(spark, sf_dir), f"{root}/model", f"{root}/reports", warehouse, base=SEARCH)
     return plain(warehouse.model_metrics().select("mape", "rmse", "mae", "r2_score", "n_features", "n_train_samples", "n_test_samples", "best_params"))
