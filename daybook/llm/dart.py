@@ -9,13 +9,14 @@ agree on a coordinate with the probability of their weighted Jaccard similarity.
 
 Signatures are cut into bands. Equal texts are joined first, by digest. Texts that share a band form a bucket; a
 bucket links its members to a centre (the member that meets most others over all bands) instead of to each other, and
-each link is checked on the whole weighted sets. Members that are not similar to the centre go on to a next round with a
-new centre, together with those members of the centre that could still be similar to one of them: 1 - similarity is a
-metric, so a member at distance a from the centre can only reach one at distance b if |a - b| is at most
-1 - `least`. Rounds end when no bucket has two members left, so no link is lost to the centre and no bucket is expanded into pairs.
-Classes are the connected components of the links, by smallest label with pointer jumping.
-
-With 30 bands of 5, a pair at similarity 0.8 shares no band once in 150,000; more similar pairs far less often. Null and
+each link is checked on the whole weighted sets. The links' connected components, by smallest label with pointer
+jumping, are the classes so far. Only members of different classes are ever compared, no pair twice, and a bucket whose
+members are of one class is done. The others go on without their centres, which have met all of the bucket, to a next
+round with eight times as many, taken from the smallest classes of each bucket. Rounds end when no bucket has members of
+two classes that have not met, so no class is split by the choice of a centre. A family of n texts that share bands but
+are not similar to each other costs up to n * n / 2 comparisons, as each of them has to be told from all others.
+
+With 64 bands of 8, a pair at similarity 0.8 shares no band once in 130,000; more similar pairs far less often. Null and
 empty texts, or texts without a word, are near copies of texts equal to them only (null counts as empty). All tables between steps
 are written to the shared folder. Buckets are joined with sort-merge joins that Spark splits where they are skewed.
 """
@@ -26,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,8 @@ from daybook.llm.registry import filtered, staged
 
 WORDS = 5
 LEAST = 0.8
-BANDS = 30
-ROWS = 5
+BANDS = 64
+ROWS = 8
 
 _FIRST_CELL = 8  # the lowest cell of ranks is [0, 2 ** -8); each next one doubles the end
 _STEP = np.uint64(0xA0761D6478BD642F)
@@ -152,31 +153,42 @@ def with_units(df: DataFrame, text: str = "text", words: int = WORDS) -> DataFra
     return over_texts(df, text, {"units": T.ArrayType(T.LongType())}, work)
 
 
-def _links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """(a, b, similarity) of all pairs found similar, from the members (bucket, key) of the buckets."""
-    links, active = None, members
+def _links(members: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame | None, DataFrame | None]:
+    """Links (a, b, similarity) that join all similar members (bucket, key) into classes, and their components (key, label)."""
+    links, labels, judged, active, centres_each = None, None, None, members, 1
     while True:
-        sizes = active.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        active = active.join(sizes, "bucket")
+        if labels is None:
+            active = active.withColumn("label", F.col("key"))
+        else:
+            active = active.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        mixed = active.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        active = active.join(mixed.where("low <> high").select("bucket", "n"), "bucket")
         degree = active.groupBy("key").agg(F.sum("n").alias("degree"))
-        active = staged(active.select("bucket", "key").join(degree, "key"), "members")
+        active = active.select("bucket", "key", "label").join(degree, "key")
+        # After the first round small classes come first: their few members meet all of a large class at once.
+        own = active.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
+        active = active.withColumn("own", F.lit(0)) if labels is None else active.join(own, ["bucket", "label"])
+        active = staged(active, "members")
         if active.isEmpty():
-            return links
-        centres = active.groupBy("bucket").agg(F.max(F.struct("degree", "key"))["key"].alias("centre"))
-        placed = staged(active.select("bucket", "key").join(centres, "bucket").where("key <> centre"), "placed")
-        pairs = placed.select("key", "centre").distinct()
-        pairs = pairs.join(sets.select(F.col("key").alias("centre"), F.col("units").alias("_b")), "centre")
-        pairs = pairs.join(sets.select("key", F.col("units").alias("_a")), "key")
+            return links, labels
+        first = Window.partitionBy("bucket").orderBy("own", F.desc("degree"), F.desc("key"))
+        centres = active.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= centres_each)
+        centres = centres.select("bucket", F.col("key").alias("centre"), F.col("label").alias("other"))
+        placed = active.join(centres, "bucket").where("label <> other")
+        pairs = placed.select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
+        if judged is not None:  # members that met in another bucket need not be compared again
+            pairs = pairs.join(judged, ["a", "b"], "left_anti")
+        pairs = pairs.join(sets.select(F.col("key").alias("a"), F.col("units").alias("_a")), "a")
+        pairs = pairs.join(sets.select(F.col("key").alias("b"), F.col("units").alias("_b")), "b")
         both = F.size(F.array_intersect("_a", "_b"))
-        pairs = pairs.select("key", "centre", (both / (F.size("_a") + F.size("_b") - both)).alias("similarity"))
-        pairs = staged(pairs, "similar")
-        found = pairs.where(F.col("similarity") >= least).select(F.col("key").alias("a"), F.col("centre").alias("b"), "similarity")
+        pairs = staged(pairs.select("a", "b", (both / (F.size("_a") + F.size("_b") - both)).alias("similarity")), "pairs")
+        judged = pairs if judged is None else judged.unionByName(pairs)
+        found = pairs.where(F.col("similarity") >= least)
         links = found if links is None else links.unionByName(found)
-        judged = placed.join(pairs, ["key", "centre"]).select("bucket", "key", "similarity")
-        # The nearest member that is not similar to the centre decides which similar ones it may still be similar to.
-        nearest = judged.where(F.col("similarity") < least).groupBy("bucket").agg(F.max("similarity").alias("nearest"))
-        within = F.col("similarity") - F.col("nearest") <= 1 - least + 1e-9
-        active = judged.join(nearest, "bucket").where((F.col("similarity") < least) | within).select("bucket", "key")
+        labels = components(links)
+        # Centres have met all of their bucket that is not of their class.
+        active = active.join(centres.select("bucket", F.col("centre").alias("key")), ["bucket", "key"], "left_anti").select("bucket", "key")
+        centres_each *= 8
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -203,7 +215,7 @@ def classes(
 ) -> tuple[DataFrame, DataFrame]:
     """One row per row of `df`: doc_id, key (digest of the text), class_id (smallest doc_id of its class), class_key.
 
-    The second table has a row for each link between different texts: the digests a and b, and their similarity.
+    The second table has the links that make the classes: the digests a and b of different texts, and their similarity.
     """
     docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     digest = F.unhex(F.md5("text"))
@@ -219,10 +231,10 @@ def classes(
     )
     whole = with_units(whole.select("key", "text"), "text", words).select("key", "units")
     sets = staged(whole.groupBy("key").agg(F.any_value("units").alias("units")), "sets")
-    links = _links(members, sets, least)
+    links, labels = _links(members, sets, least)
     if links is None:
         links = df.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    labels = components(links)
+        labels = links.select(F.col("a").alias("key"), F.col("b").alias("label"))
     labelled = texts.select("key", "first_id").join(labels, "key", "left")
     labelled = staged(labelled.select("key", "first_id", F.coalesce("label", "key").alias("class_key")), "classes")
     firsts = labelled.groupBy("class_key").agg(F.min("first_id").alias("class_id"))
