@@ -18,13 +18,14 @@ def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Reco
 
 
 def over_texts(df: DataFrame, column: str, more: dict[str, T.DataType], work: Callable[[pa.Array], dict[str, pa.Array]]) -> DataFrame:
-    """`df` with the columns that `work` makes from slices of about 2 MB of text; a column of the same name is replaced."""
+    """`df` with the columns that `work` makes from slices of about 1 MB of text; a column of the same name is replaced."""
     schema = T.StructType([f for f in df.schema.fields if f.name not in more] + [T.StructField(n, t) for n, t in more.items()])
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             at = batch.column(batch.schema.get_field_index(column))
-            texts = pa.types.is_string(at.type) or pa.types.is_large_string(at.type)
+            kind = at.type
+            texts = any(is_(kind) for is_ in (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary, pa.types.is_large_binary))
             for lo, hi in slices(flat(at)[1] if texts else np.arange(len(at) + 1) * 4096):
                 yield with_columns(batch.slice(lo, hi - lo), work(at.slice(lo, hi - lo)))
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -1,15 +1,17 @@
 """Repeated passages, by suffix arrays over shards of the text.
 
 A window (`length` bytes) is repeated if the same bytes start anywhere else. Each window has an anchor, the least hash of
-the 64-byte strings in it, so equal windows have equal anchors. Neighbouring windows with one anchor form a run; runs whose anchor is
+the strings of 64 bytes in it, so equal windows have equal anchors. Neighbouring windows with one anchor form a run; runs whose anchor is
 alone in the corpus have no repeated window. The others meet by anchor: equal runs are counted as one with a
 multiplicity, and the different runs of an anchor lie in one shard, where a suffix array is built by induced sorting and the
 permuted common prefixes tell which windows share `length` bytes with a neighbour in it. Repeated windows go back to all places
 of their runs, and a text's repeated windows are merged into byte spans.
 
-Equal texts are one text with a multiplicity throughout. A shard is a few MB, cut between anchors. An anchor with more than
-`crowd` different runs does not fit that: its windows, of each different run once, are counted by a 128-bit digest each, which
-spreads over all tasks. Equal runs are told by anchor and a 64-bit digest, 128 bits in all. Matches never cross documents.
+Equal texts are one text with a multiplicity throughout. A shard is about 1 MB, cut between anchors. An anchor with more than
+`crowd` different runs would outgrow its shard: such runs are texts in their turn, each different one once, and are cut again by
+longer anchors. Texts that share less than that anchor part ways, and at the last level the anchor is the window
+itself, where no two runs of an anchor differ. Equal runs are told by anchor and a 64-bit digest, 128 bits in
+all. Matches never cross documents.
 
 Null texts count as empty. Rows are matched by the digest of their text, so ids may be null or repeat. Extra columns pass through.
 """
@@ -30,9 +32,9 @@ from daybook.llm.registry import staged
 from daybook.llm.sais import permuted_prefixes, suffix_array
 
 LENGTH = 400
-ANCHOR = 64
+ANCHORS = (64, 336, 392, 400)  # bytes; each next one for the crowds of the one before
 CROWD = 200
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 _RUNS = T.ArrayType(
     T.StructType(
@@ -107,34 +109,21 @@ def _arrow_run() -> pa.StructType:
     )
 
 
-_PIECE = "anchor long, digest long, piece binary, first long, window_a long, window_b long"
+_PIECE = "anchor long, digest long, piece binary, crowded boolean"
 
 
 def _cut(length: int):
-    """(key, text, wanted runs) -> the bytes of each wanted run, or two digests for each of its windows where it is crowded."""
+    """(text, wanted runs) -> the bytes of each wanted run."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "digest", "piece", "crowded"]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
         for batch in batches:
-            texts, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for text, runs in zip(texts, wanted):
-                data = text.encode()
-                rows: list[tuple] = []
-                for r in runs:
-                    piece = data[r["start"] : r["start"] + r["windows"] - 1 + length]
-                    if not r["crowded"]:
-                        rows.append((r["anchor"], r["digest"], piece, None, None, None))
-                        continue
-                    raw = np.frombuffer(piece, np.uint8)
-                    at = np.arange(r["windows"])
-                    a = _whole(raw, at, at + length, prefix(raw.astype(np.uint64) + np.uint64(1))).view(np.int64)
-                    b = _whole(raw, at, at + length, prefix(mix(raw.astype(np.uint64)) | np.uint64(1))).view(np.int64)
-                    rows += [(r["anchor"], r["digest"], None, k, x, y) for k, x, y in zip(at.tolist(), a.tolist(), b.tolist())]
-                for lo in range(0, len(rows), 50_000):
-                    part = list(zip(*rows[lo : lo + 50_000]))
-                    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, k) for x, k in zip(part, kinds)], names=[f.split()[0] for f in _PIECE.split(", ")]
-                    )
+            for text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                data = text.encode() if isinstance(text, str) else text
+                rows = [(r["anchor"], r["digest"], data[r["start"] : r["start"] + r["windows"] - 1 + length], r["crowded"]) for r in runs]
+                for lo in range(0, len(rows), 5000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[lo : lo + 5000]), kinds)], names=names)
 
     return work
 
@@ -197,43 +186,59 @@ def _shards(length: int, shard_bytes: int):
     return work
 
 
-def spans(df: DataFrame, text: str, length: int = LENGTH, anchor: int = ANCHOR, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(key, copies, spans): for each different text its number of rows and the runs of repeated windows, unmerged.
+def _runs(texts: DataFrame, length: int, anchor: int) -> DataFrame:
+    """(key, runs) of the rows (key, text)."""
+    return over_texts(texts, "text", {"runs": _RUNS}, lambda c: {"runs": anchored_runs(c, length, anchor)}).select("key", "runs")
 
-    Texts without any have no row; key is the MD5 digest of the text.
-    """
-    texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = {"runs": _RUNS}
-    found = over_texts(texts.withColumn("key", F.unhex(F.md5("text"))), "text", kind, lambda c: {"runs": anchored_runs(c, length, anchor)})
-    rows = staged(found.select("key", "runs"), "runs")
-    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.any_value("runs").alias("runs"))
-    distinct = staged(counted.where("size(runs) > 0"), "texts")
-    runs = distinct.select("key", F.inline("runs"))
+
+def _repeated(runs: DataFrame, texts: DataFrame, length: int, anchors: tuple[int, ...], crowd: int, shard_bytes: int) -> DataFrame:
+    """(key, from, to) of repeated windows. runs: (key, anchor, digest, start, windows, own), texts: (key, text); keys are different texts."""
     # Different runs with their number and one place; and how many each anchor has.
     place = F.struct("key", "start", "windows", "own")
     different = runs.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
     different = staged(different.select("anchor", "digest", "n", "at.*"), "different")
-    anchors = different.groupBy("anchor").agg(
+    totals = different.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total"), F.max("own").alias("any_own")
     ).where("total > 1 or any_own")
-    shared = different.join(anchors, "anchor")
-    shared = staged(shared.withColumn("crowded", F.col("kinds") > crowd), "shared")
-    several = shared.where("n > 1").select("anchor", "digest", F.lit(0).cast("long").alias("from"), F.col("windows").alias("to"))
+    shared = staged(different.join(totals, "anchor").withColumn("crowded", F.col("kinds") > crowd), "shared")
+    found = shared.where("n > 1").select("anchor", "digest", F.lit(0).cast("long").alias("from"), F.col("windows").alias("to"))
     # Bytes are needed where an anchor has different runs or a run that may repeat itself.
-    wanted = shared.where("kinds > 1 or own").groupBy("key").agg(F.collect_list(F.struct("anchor", "digest", "start", "windows", "crowded")).alias("wanted"))
-    # Copies of a text are one row per map task before the exchange, which the join then shares.
-    holders = texts.groupBy(F.unhex(F.md5("text")).alias("key")).agg(F.any_value("text").alias("text")).join(wanted, "key")
-    pieces = staged(holders.select("text", "wanted").mapInArrow(_cut(length), _PIECE), "pieces")
-    few = pieces.where("piece is not null").select("anchor", "digest", "piece")
-    alone = few.repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(_shards(length, shard_bytes), _FOUND)
-    many = pieces.where("piece is null").join(shared.where("crowded").select("anchor", "digest", "n"), ["anchor", "digest"])
-    again = many.groupBy("window_a", "window_b").agg(F.sum("n").alias("total")).where("total > 1").select("window_a", "window_b")
-    spread = many.join(again, ["window_a", "window_b"]).select("anchor", "digest", F.col("first").alias("from"), (F.col("first") + 1).alias("to"))
-    repeated = staged(several.unionByName(alone).unionByName(spread), "repeated")
-    back = runs.select("key", "anchor", "digest", "start").join(repeated, ["anchor", "digest"])
-    by_text = back.groupBy("key").agg(
-        F.collect_list(F.struct((F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))).alias("spans")
-    )
+    wanted = F.collect_list(F.struct("anchor", "digest", "start", "windows", "crowded")).alias("wanted")
+    wanted = shared.where("kinds > 1 or own").groupBy("key").agg(wanted)
+    pieces = staged(texts.join(wanted, "key").select("text", "wanted").mapInArrow(_cut(length), _PIECE), "pieces")
+    few = pieces.where("not crowded").select("anchor", "digest", "piece")
+    few = few.repartition("anchor").sortWithinPartitions("anchor", "digest").mapInArrow(_shards(length, shard_bytes), _FOUND)
+    found = found.unionByName(few)
+    many = pieces.where("crowded")
+    if len(anchors) > 1 and not many.isEmpty():
+        many = many.select(F.concat_ws("/", "anchor", "digest").cast("binary").alias("key"), F.col("piece").alias("text"))
+        finer = staged(_runs(many, length, anchors[1]), "runs").select("key", F.inline("runs"))
+        finer = _repeated(finer, many, length, anchors[1:], crowd, shard_bytes)
+        parts = F.split(F.col("key").cast("string"), "/")
+        found = found.unionByName(finer.select(parts[0].cast("long").alias("anchor"), parts[1].cast("long").alias("digest"), "from", "to"))
+    found = staged(found, "repeated")
+    back = runs.select("key", "anchor", "digest", "start").join(found, ["anchor", "digest"])
+    return back.select("key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+
+
+def spans(
+    df: DataFrame, text: str, length: int = LENGTH, anchors: tuple[int, ...] = ANCHORS, crowd: int = CROWD, shard_bytes: int = SHARD_BYTES
+) -> DataFrame:
+    """(key, copies, spans): for each different text its number of rows and the runs of repeated windows, unmerged.
+
+    Texts without any have no row; key is the MD5 digest of the text. The last of `anchors` is the length itself.
+    """
+    if anchors[-1] != length or sorted(anchors) != list(anchors):
+        raise ValueError("anchors must grow up to the length")
+    texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    digest = F.unhex(F.md5("text")).alias("key")
+    rows = staged(_runs(texts.select("text", digest), length, anchors[0]), "runs")
+    counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.any_value("runs").alias("runs"))
+    distinct = staged(counted.where("size(runs) > 0"), "texts")
+    # Copies of a text are one row per map task before the exchange, which the join with the wanted runs then shares.
+    holders = texts.groupBy(digest).agg(F.any_value("text").alias("text"))
+    windows = _repeated(distinct.select("key", F.inline("runs")), holders, length, anchors, crowd, shard_bytes)
+    by_text = windows.groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
     copied = distinct.where("copies > 1").select("key", "copies")
     return by_text.join(copied, "key", "full").select("key", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), "spans")
 

@@ -116,7 +116,7 @@ def plain_repeats(texts, length):
     return out
 
 
-@pytest.mark.parametrize("settings", [{"anchor": 12}, {"anchor": 12, "crowd": 2}, {"anchor": 30, "shard_bytes": 500}])
+@pytest.mark.parametrize("settings", [{"anchors": (12, 40)}, {"anchors": (12, 30, 40), "crowd": 2}, {"anchors": (30, 36, 40), "crowd": 1, "shard_bytes": 500}])
 def test_repeats_equal_a_plain_search(spark, settings):
     rng = random.Random(2)
     passages = ["".join(rng.choice("abcdeé \0") for _ in range(rng.randint(20, 200))) for _ in range(6)]
