@@ -9,8 +9,9 @@ of their runs, and a text's repeated windows are merged into byte spans.
 
 Equal texts are one text with a multiplicity throughout. A shard is about 1 MB, cut between anchors. An anchor with more than
 `crowd` different runs would outgrow its shard: such runs are texts in their turn, each different one once, and are cut again by
-longer anchors. Texts that share less than that anchor part ways, and at the last level the anchor is the window
-itself, where no two runs of an anchor differ. Equal runs are told by anchor and a 64-bit digest, 128 bits in
+longer anchors. Texts that share less than that anchor part ways. At the last level the anchor is the window itself:
+the runs of a crowd there are stretches of one repeated byte that differ only in their number of windows, all of them
+the same window, so each such run is repeated whole. Equal runs are told by anchor and a 64-bit digest, 128 bits in
 all. Matches never cross documents.
 
 Null texts count as empty. Rows are matched by the digest of their text, so ids may be null or repeat. Extra columns pass through.
@@ -202,6 +203,11 @@ def _repeated(runs: DataFrame, texts: DataFrame, length: int, anchors: tuple[int
     ).where("total > 1 or any_own")
     shared = staged(different.join(totals, "anchor").withColumn("crowded", F.col("kinds") > crowd), "shared")
     found = shared.where("n > 1").select("anchor", "digest", F.lit(0).cast("long").alias("from"), F.col("windows").alias("to"))
+    if len(anchors) == 1:
+        # The windows of an anchor are all the same one: a crowd is repeated whole, without its bytes.
+        whole = shared.where("crowded and n = 1").select("anchor", "digest", F.lit(0).cast("long").alias("from"), F.col("windows").alias("to"))
+        found = found.unionByName(whole)
+        shared = shared.where("not crowded")
     # Bytes are needed where an anchor has different runs or a run that may repeat itself.
     wanted = F.collect_list(F.struct("anchor", "digest", "start", "windows", "crowded")).alias("wanted")
     wanted = shared.where("kinds > 1 or own").groupBy("key").agg(wanted)

@@ -134,3 +134,20 @@ def test_repeats_equal_a_plain_search(spark, settings):
         assert all(a["end"] < b["start"] for a, b in zip(r.removed, r.removed[1:]))
         assert r.kept_text == kept.decode("utf-8", "ignore")
     assert len(got) == len(texts) and suffix.remove_repeats(df.limit(0)).count() == 0
+
+
+def check_repeats(spark, texts, length, **settings):
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r.i: r for r in suffix.remove_repeats(df, length=length, **settings).collect()}
+    for i, (size, gone, kept) in enumerate(plain_repeats(texts, length)):
+        r = got[i]
+        assert (r.n_bytes, bytes(r.kept)) == (size, kept)
+        assert [b for s in r.removed for b in range(s["start"], s["end"])] == gone
+    assert len(got) == len(texts)
+
+
+def test_crowds_of_the_last_anchor_are_repeated_whole(spark):
+    texts = [f"{k:03d}" + "x" * k + f"{k:03d}" for k in (38, 39, 40, 43, 47, 52, 61, 75)] + ["y" * 40, "z" * 40 + "own" + "z" * 44]
+    for crowd in (0, 1, 3):
+        check_repeats(spark, texts, 40, anchors=(12, 30, 40), crowd=crowd)
+    check_repeats(spark, texts, 40, anchors=(40,), crowd=1)
