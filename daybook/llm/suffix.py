@@ -67,7 +67,10 @@ def _whole(raw: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray) -
 
 
 def anchored_runs(column: pa.Array, length: int, anchor: int) -> pa.Array:
-    """The runs of each text. `own`: some window has its anchor's string twice, so that the run may repeat itself."""
+    """The runs of each text. `own`: its anchor is not at one place in all windows, so that the run may repeat itself.
+
+    Equal windows have their leftmost anchor equally far from their start, and within a run that place only moves on.
+    """
     raw, bounds = flat(column)
     n, sizes = len(column), np.diff(bounds)
     if len(raw) < length or not (sizes >= length).any():
@@ -78,7 +81,6 @@ def anchored_runs(column: pa.Array, length: int, anchor: int) -> pa.Array:
     hashes = mix(ranges(p, at, at + anchor))
     high, place, width = hashes & ~_LOW, at.astype(np.uint64), length - anchor + 1
     first = (_least(high | place, width) & _LOW).astype(np.int64)
-    last = (_LOW - (_least(high | (_LOW - place), width) & _LOW)).astype(np.int64)
     valid = np.zeros(len(first) + 1, bool)
     row = np.repeat(np.arange(n), sizes)[: len(first)]
     valid[:-1] = np.arange(len(first)) + length <= bounds[row + 1]
@@ -88,8 +90,7 @@ def anchored_runs(column: pa.Array, length: int, anchor: int) -> pa.Array:
     start = np.flatnonzero(fresh)
     # A run ends before the next one, or with the last window of its text.
     end = np.minimum(np.append(start[1:], len(first)), bounds[row[start] + 1] - length + 1)
-    twice = np.concatenate([[0], np.cumsum(first != last)])
-    own = twice[end] > twice[start]
+    own = first[end - 1] != first[start]
     digest = _whole(raw, start, end - 1 + length, p)
     struct = pa.StructArray.from_arrays(
         [

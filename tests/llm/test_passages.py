@@ -151,3 +151,14 @@ def test_crowds_of_the_last_anchor_are_repeated_whole(spark):
     for crowd in (0, 1, 3):
         check_repeats(spark, texts, 40, anchors=(12, 30, 40), crowd=crowd)
     check_repeats(spark, texts, 40, anchors=(40,), crowd=1)
+
+
+def test_a_text_that_repeats_itself_at_any_period(spark):
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(0x21, 0x7F)]
+    texts = []
+    for period in range(1, 45):  # 29, 11 and 1 hold the anchor once in each window
+        unit = "".join(rng.choice(letters) for _ in range(period))
+        texts.append("<" + unit * (90 // period + 2) + ">")
+    for anchors in ((12, 40), (12, 30, 40), (40,)):
+        check_repeats(spark, texts, 40, anchors=anchors, crowd=1)
