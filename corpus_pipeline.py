@@ -5,8 +5,8 @@ executor costs one stage at most. All but the last return the columns of `docume
 
 - quality: the importance resampling rejects documents; rejected ones go.
 - near_copies: one document of each class of near copies stays, the one of smallest id.
-- passages: every byte under a string of 400 bytes that occurs elsewhere goes, and with it a character cut in two; a document
-  that loses all its text goes, one that had none stays. n_chars is that of the new text.
+- passages: every byte under a string of 400 bytes or under a passage of 51 words that occurs elsewhere goes, and with it a
+  character cut in two; a document that loses all its text goes, one that had none stays. n_chars is that of the new text.
 - benchmark: documents with ten consecutive words of a benchmark item go.
 - tokens: doc_id, lang, source, n_tokens, ids and the text decoded from them.
 """
@@ -20,6 +20,8 @@ from daybook.llm import bpe, dart, decontaminate, quality, suffix
 from daybook.llm.query_tokens import tokenizer_path
 from daybook.llm.registry import filtered, staged, table
 
+PASSAGE_WORDS = 51
+
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -31,11 +33,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def work(df: DataFrame) -> DataFrame:
-        left = suffix.remove_repeats(df, as_text=True).where("n_bytes = 0 or kept_text <> ''")
+        left = suffix.remove_repeats(df, as_text=True, words=PASSAGE_WORDS).where("n_bytes = 0 or kept_text <> ''")
         left = left.withColumn("text", F.when(F.size("removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
         return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
-    return filtered(docs, ["n_bytes", "removed", "kept", "kept_text", "_key", "_copies", "_spans"], work)
+    return filtered(docs, ["n_bytes", "removed", "kept", "kept_text", "_key", "_copies", "_spans", "_codes", "_word_key", "_word_copies", "_word_spans"], work)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,11 +14,16 @@ the runs of a crowd there are stretches of one repeated byte that differ only in
 the same window, so each such run is repeated whole. Equal runs are told by anchor and a 64-bit digest, 128 bits in
 all. Matches never cross documents.
 
+`remove_repeats` can also take passages by number of words (runs of ASCII letters and digits and of other characters): a
+text's words and what parts them become codes of fixed length, and windows of those codes are looked for in the same way, so a
+passage of that many words goes however few bytes it has.
+
 Null texts count as empty. Rows are matched by the digest of their text, so ids may be null or repeat. Extra columns pass through.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -237,7 +242,7 @@ def spans(
     """
     if anchors[-1] != length or sorted(anchors) != list(anchors):
         raise ValueError("anchors must grow up to the length")
-    texts = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = df.select(F.coalesce(F.col(text), F.lit("").cast(df.schema[text].dataType)).alias("text"))
     digest = F.unhex(F.md5("text")).alias("key")
     rows = staged(_runs(texts.select("text", digest), length, anchors[0]), "runs")
     counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.any_value("runs").alias("runs"))
@@ -250,22 +255,65 @@ def spans(
     return by_text.join(copied, "key", "full").select("key", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), "spans")
 
 
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+_IN_WORD = np.array([bool(_WORD.match(bytes([b]))) for b in range(256)])
+_CODE = 6  # bytes: four for a word, two for what stands between it and the next
+
+
+def word_codes(column: pa.Array) -> pa.Array:
+    """Each text's words in order, as codes of `_CODE` bytes."""
+    raw, bounds = flat(column)
+    n = len(column)
+    inside = np.concatenate([[False], _IN_WORD[raw], [False]])
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[bounds] = True
+    start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
+    end = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:])) + 1
+    row = np.searchsorted(bounds, start, side="right") - 1
+    following = np.minimum(np.append(start[1:], len(raw)), bounds[row + 1])
+    p = prefix(raw.astype(np.uint64) + np.uint64(1))
+    codes = np.empty((len(start), _CODE), np.uint8)
+    codes[:, :4] = (_whole(raw, start, end, p) >> np.uint64(32)).astype(np.uint32).view(np.uint8).reshape(-1, 4)
+    codes[:, 4:] = (_whole(raw, end, following, p) >> np.uint64(48)).astype(np.uint16).view(np.uint8).reshape(-1, 2)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]) * _CODE
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(codes.tobytes())]).cast(pa.binary())
+
+
 _REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _remove(length: int, text: str, as_text: bool):
+def _word_cover(cover: np.ndarray, whole: bytes, copies: int, windows: list[dict] | None, words: int) -> None:
+    """Adds the bytes of the repeated windows of `words` words; windows are places in the text's codes."""
+    if copies == 1 and not windows:
+        return
+    at = np.array([m.span() for m in _WORD.finditer(whole)], np.int64).reshape(-1, 2)
+    last = len(at) - words  # the last window's first word
+    for w in [{"from": 0, "to": last * _CODE + 1}] if copies > 1 else windows:
+        first, end = -(-w["from"] // _CODE), -(-w["to"] // _CODE)
+        if first < end <= last + 1:
+            np.add.at(cover, [at[first, 0]], 1)
+            np.add.at(cover, [at[end - 1 + words - 1, 1]], -1)
+
+
+def _remove(length: int, text: str, as_text: bool, words: int | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             data = [(t or "").encode() for t in batch.column(at).to_pylist()]
             counts, kept, starts, ends, sizes = [], [], [], [], []
-            for whole, copies, windows in zip(data, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist()):
+            none = [None] * len(data)
+            by_word = [batch.column(c).to_pylist() for c in ("_word_copies", "_word_spans")] if words else [none, none]
+            for whole, copies, windows, word_copies, word_windows in zip(
+                data, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist(), *by_word
+            ):
                 cover = np.zeros(len(whole) + 1, np.int64)
                 if (copies or 1) > 1 and len(whole) >= length:
                     cover[[0, len(whole)]] = 1, -1
                 elif windows:
                     np.add.at(cover, [w["from"] for w in windows], 1)
                     np.add.at(cover, [w["to"] - 1 + length for w in windows], -1)
+                if words:
+                    _word_cover(cover, whole, word_copies or 1, word_windows, words)
                 gone = np.cumsum(cover)[:-1] > 0
                 edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
                 starts.append(np.flatnonzero(edge == 1))
@@ -273,7 +321,7 @@ def _remove(length: int, text: str, as_text: bool):
                 counts.append(len(starts[-1]))
                 kept.append(np.frombuffer(whole, np.uint8)[~gone].tobytes() if counts[-1] else whole)
                 sizes.append(len(whole))
-            names = [n for n in batch.schema.names if n not in ("_copies", "_spans")]
+            names = [n for n in batch.schema.names if n not in ("_copies", "_spans", "_word_copies", "_word_spans")]
             flat_ = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
             struct = pa.StructArray.from_arrays([pa.array(flat_(starts)), pa.array(flat_(ends))], ["start", "end"])
             yield pa.RecordBatch.from_arrays(
@@ -286,18 +334,27 @@ def _remove(length: int, text: str, as_text: bool):
     return work
 
 
-def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_text: bool = False, **settings) -> DataFrame:
+def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_text: bool = False, words: int | None = None, **settings) -> DataFrame:
     """`df` with n_bytes, removed (maximal byte runs) and kept (the other bytes); columns of these names are replaced.
 
-    as_text: kept_text as well, without the characters that a removal has cut in two.
+    as_text: kept_text as well, without the characters that a removal has cut in two. words: passages of that many words
+    (12 at least) that start elsewhere too go as well.
     """
     found = staged(spans(df, text, length, **settings), "spans")
     made = ["n_bytes", "removed", "kept"] + ["kept_text"] * as_text
     own = [c for c in df.columns if c not in made]
     rows = df.select(own).withColumn("_key", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
     rows = rows.join(found.select(F.col("key").alias("_key"), F.col("copies").alias("_copies"), F.col("spans").alias("_spans")), "_key", "left")
+    if words:
+        codes = lambda d: over_texts(d, text, {"_codes": T.BinaryType()}, lambda c: {"_codes": word_codes(c)})
+        # The last word of a window goes without what follows it.
+        size = words * _CODE - 2
+        found = staged(spans(codes(df.select(text)), "_codes", size, (64, size - 64, size - 8, size) if size > 136 else (size - 8, size)), "word_spans")
+        rows = codes(rows).withColumn("_word_key", F.unhex(F.md5("_codes"))).drop("_codes")
+        found = found.select(F.col("key").alias("_word_key"), F.col("copies").alias("_word_copies"), F.col("spans").alias("_word_spans"))
+        rows = rows.join(found, "_word_key", "left").drop("_word_key")
     schema = T.StructType(
         [df.schema[c] for c in own]
         + [T.StructField(n, k) for n, k in zip(made, (T.LongType(), _REMOVED, T.BinaryType(), T.StringType()))]
     )
-    return rows.drop("_key").mapInArrow(_remove(length, text, as_text), schema)
+    return rows.drop("_key").mapInArrow(_remove(length, text, as_text, words), schema)

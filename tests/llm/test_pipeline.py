@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,3 +37,19 @@ def test_stages_keep_columns_and_bear_odd_rows(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF_DIR).toPandas()
     assert 0 < len(out) < 200 and out.doc_id.is_unique and (out.n_tokens == out.ids.map(len)).all()
+
+
+def test_passages_of_more_than_fifty_words_go(spark):
+    rng = random.Random(7)
+    new = lambda n: [f"{rng.choice('abcdefgé')}{rng.randrange(10**6)}"[: rng.randint(2, 5)] + rng.choice(["", "", "", ","]) for _ in range(n)]
+    texts, want = [], []
+    for size in (50, 51, 52, 55, 60):
+        passage = " ".join(new(size)).rstrip(",")
+        for _ in range(2):
+            before, after = " ".join(new(30)) + f" q{len(texts)}q ", f" r{len(texts)}r " + " ".join(new(20))
+            texts.append(before + passage + after)
+            want.append(texts[-1] if size == 50 else before + after)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in corpus_pipeline.drop_passages(spark, docs, SF_DIR).collect()}
+    assert [out[i].text for i in range(len(texts))] == want
+    assert all(r.n_chars == len(r.text) for r in out.values())
