@@ -1,14 +1,11 @@
 """Splits, models, scoring and comparison over the feature table of the whole panel.
 
-Forests have the library's 100 trees, the search its 10 trials and 3 folds. Boosting stops by patience; its step is larger
-and its patience shorter than the library's defaults, as otherwise one training takes most of an hour here. A model is
-trained once per session and table, stored, and shared by the entries that only use it.
+Forests have the library's 100 trees, the search its 10 trials and 3 folds. Boosting has the library's defaults (10,000 rounds
+at most, a patience of 75), in the search too, so a training takes long. A model is trained once per session and table, stored, and shared by the entries that only use it.
 """
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from daybook.config import DEFAULT_CONFIG
@@ -21,8 +18,7 @@ from daybook.session import scratch_path
 from daybook.sources import files, retail
 
 FOREST = models.ForestSettings()
-BOOST = models.BoostSettings(step=0.3, patience=5, max_iter=40)
-SEARCH = replace(BOOST, max_iter=10)
+BOOST = models.BoostSettings()
 
 
 def staged_features(spark, sf_dir):
@@ -112,7 +108,7 @@ def param_search(spark, sf_dir):
     train, _ = split.time_split(staged_features(spark, sf_dir))
     rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
     rows = rows.select("Store", "Date", "Sales", split.WEEK, "features", "label")
-    trials = models.param_search(rows, SEARCH, DEFAULT_CONFIG.search_trials, DEFAULT_CONFIG.cv_splits)
+    trials = models.param_search(rows, BOOST, DEFAULT_CONFIG.search_trials, DEFAULT_CONFIG.cv_splits)
     return plain(models.trial_table(spark, trials))
 
 
@@ -205,5 +201,5 @@ def model_comparison(spark, sf_dir):
 def train_job(spark, sf_dir):
     root = scratch_path(spark, "train_job")
     warehouse = fresh_warehouse(spark, "train_job_tables")
-    training.train_job(staged_features(spark, sf_dir), f"{root}/model", f"{root}/reports", warehouse, base=SEARCH)
+    training.train_job(staged_features(spark, sf_dir), f"{root}/model", f"{root}/reports", warehouse, base=BOOST)
     return plain(warehouse.model_metrics().select("mape", "rmse", "mae", "r2_score", "n_features", "n_train_samples", "n_test_samples", "best_params"))

@@ -133,3 +133,35 @@ def test_step_log(spark, root):
         log.run("b", lambda: (_ for _ in ()).throw(RuntimeError("no")))
     rows = {r.dag_name: r for r in log.warehouse.pipeline_runs().collect()}
     assert (rows["a"].status, rows["a"].records_processed, rows["b"].status, rows["b"].error_message) == ("success", 3, "failed", "no")
+
+
+def test_registered_entries_train_with_the_default_settings(monkeypatch):
+    from types import SimpleNamespace
+
+    from daybook.plans.catalog import modelling
+
+    used = []
+
+    def record(*args, **named):
+        used.extend(a for a in (*args, *named.values()) if isinstance(a, models.BoostSettings))
+        raise StopIteration
+
+    monkeypatch.setattr(modelling, "staged_features", lambda *_: None)
+    monkeypatch.setattr(modelling, "scratch_path", lambda *_: "")
+    monkeypatch.setattr(modelling, "fresh_warehouse", lambda *_: ("", None))
+    monkeypatch.setattr(modelling.files, "sink_stage", lambda *_: None)
+    rows = SimpleNamespace(select=lambda *_: None)
+    monkeypatch.setattr(modelling.split, "time_split", lambda *_: (None, None))
+    monkeypatch.setattr(modelling.split, "holdout_split", lambda *_: (None, None))
+    monkeypatch.setattr(modelling.split, "with_week_key", lambda *_: None)
+    for name, fake in (("assemble", lambda *_, **__: rows), ("model_columns", lambda *_: []), ("baselines", lambda *_: (None, None))):
+        monkeypatch.setattr(models, name, fake)
+    for name in ("train_boosted", "fit_with_stop", "param_search"):
+        monkeypatch.setattr(models, name, record)
+    monkeypatch.setattr(modelling.training, "train_job", record)
+    context = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="none"))
+    entries = (modelling.boosted_trees, modelling.nested_holdout, modelling.param_search, modelling.predict, modelling.model_comparison, modelling.train_job)
+    for entry in entries:
+        with pytest.raises(StopIteration):
+            entry(context, "none")
+    assert used == [models.BoostSettings()] * len(entries)
