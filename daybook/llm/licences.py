@@ -35,7 +35,8 @@ def bigrams(text: str) -> list[str]:
 
 
 def bounds(size: int, least: float) -> tuple[float, float]:
-    return size * least / (2 - least), size * (2 - least) / least
+    """Sizes that can reach `least`; outward by a little, so that a tie isn't lost to rounding."""
+    return size * least / (2 - least) * (1 - 1e-9), size * (2 - least) / least * (1 + 1e-9)
 
 
 def _templates(templates: dict[str, str], least: float) -> Column:

@@ -135,3 +135,10 @@ def test_licences_equal_all_comparisons(spark):
     got = {r.i: [(m["line"], m["name"], round(m["dice"], 9)) for m in r.licences] for r in licences.scan(df).collect()}
     assert got == {i: plain_scan(t) for i, t in enumerate(texts)}
     assert licences.scan(df.limit(0)).count() == 0
+
+
+def test_licences_at_the_least_likeness_count(spark):
+    texts = ["Licensed under CC BY-NC", "Licensed under CC BY-NC 4.0. a b c"]  # 4 and 9 bigrams against 6
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    got = {r.i: [(m["line"], m["name"], m["dice"]) for m in r.licences] for r in licences.scan(df).collect()}
+    assert got == {i: [(0, "cc-by-nc-4.0", 0.8)] for i in range(2)} == {i: plain_scan(t) for i, t in enumerate(texts)}
