@@ -1,4 +1,4 @@
-"""Queries of the ten operators over whole tables, with production parameters."""
+"""Queries of the operators over whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from daybook.llm import (  # noqa: F401
     query_copies,
     query_fingerprints,
     query_licences,
+    query_mixture,
+    query_negatives,
     query_passages,
     query_pipeline,
     query_preference,
@@ -13,6 +15,7 @@ from daybook.llm import (  # noqa: F401
     query_repeats,
     query_revisits,
     query_shards,
+    query_spelling,
     query_tokens,
 )
 from daybook.llm.registry import ORACLE, QUERIES
