@@ -1,26 +1,25 @@
-"""Spark ML models: baselines, boosted trees with a time-based stop, search, scoring, importance."""
+"""Spark ML models: baselines, boosted trees with a time-based stop (see `boosting`), search, scoring, importance."""
 
 from __future__ import annotations
 
-import math
 import random
 import statistics
-import threading
 import time
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.config import DEFAULT_CONFIG, EngineConfig
 from daybook.functions.calendar import log_target, unlog_target
 from daybook.ml import split
+from daybook.ml.boosting import RUNG_ROUNDS, Binned, BoostSettings, Trial, bin_rows, fit_rounds, fit_with_stop, race, sample_settings
 from daybook.operators.evaluation import forecast_metrics, rank_models
 from daybook.sources.files import path_exists
 
@@ -109,42 +108,6 @@ def baselines(train: DataFrame, test: DataFrame, forest: ForestSettings = Forest
 # --- boosted trees ----------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class BoostSettings:
-    max_iter: int = 10_000
-    patience: int = 75  # rounds without a better holdout loss that end the boosting
-    depth: int = 6
-    bins: int = 117
-    step: float = 0.1
-    min_rows: int = 100
-    row_fraction: float = 0.8
-    feature_fraction: float = 0.8
-    seed: int = DEFAULT_CONFIG.random_state
-
-    def estimator(self, iterations: int | None = None, **more: object) -> GBTRegressor:
-        return GBTRegressor(
-            maxIter=iterations or self.max_iter, maxDepth=self.depth, maxBins=self.bins, stepSize=self.step,
-            minInstancesPerNode=self.min_rows, subsamplingRate=self.row_fraction,
-            featureSubsetStrategy=str(self.feature_fraction), seed=self.seed, lossType="squared", **more,
-        )
-
-
-def fit_with_stop(search: DataFrame, holdout: DataFrame, settings: BoostSettings) -> tuple[object, int]:
-    """Fits on `search`, watches `holdout`; returns the model and its best number of trees.
-
-    Boosting goes on until `patience` rounds brought nothing. The estimator cannot be continued, so the number of
-    rounds doubles until it reaches that far; all fits together cost at most twice the last one.
-    """
-    rounds = min(settings.max_iter, 2 * settings.patience)
-    while True:
-        model = settings.estimator(rounds).fit(search)
-        losses = model.evaluateEachIteration(holdout, "squared")
-        best = min(range(len(losses)), key=losses.__getitem__) + 1
-        if rounds >= settings.max_iter or rounds - best >= settings.patience:
-            return model, best
-        rounds = min(settings.max_iter, 2 * rounds)
-
-
 def score_log(model: object, rows: DataFrame) -> DataFrame:
     """Model on log1p(Sales) -> PredictedSales in sales units."""
     return model.transform(rows).select(
@@ -152,93 +115,48 @@ def score_log(model: object, rows: DataFrame) -> DataFrame:
     )
 
 
-# The search space, as (low, high).
-SEARCH_SPACE = {
-    "depth": (6, 8),
-    "bins": (63, 255),
-    "step": (0.01, 0.05),
-    "min_rows": (100, 500),
-    "row_fraction": (0.7, 0.95),
-    "feature_fraction": (0.7, 0.95),
-}
-
-
-def sample_settings(rng: random.Random, base: BoostSettings) -> BoostSettings:
-    low, high = (math.log(v) for v in SEARCH_SPACE["step"])
-    return replace(
-        base,
-        depth=rng.randint(*SEARCH_SPACE["depth"]),
-        bins=rng.randint(*SEARCH_SPACE["bins"]),
-        step=math.exp(rng.uniform(low, high)),
-        min_rows=rng.randint(*SEARCH_SPACE["min_rows"]),
-        row_fraction=rng.uniform(*SEARCH_SPACE["row_fraction"]),
-        feature_fraction=rng.uniform(*SEARCH_SPACE["feature_fraction"]),
-    )
-
-
-@dataclass
-class Trial:
-    number: int
-    settings: BoostSettings
-    scores: list[float] = field(default_factory=list)
-    iterations: list[int] = field(default_factory=list)
-    pruned: bool = False
-
-    @property
-    def score(self) -> float:
-        return statistics.fmean(self.scores) if self.scores else math.inf
-
-
 def param_search(
     search: DataFrame, base: BoostSettings = BoostSettings(), trials: int = DEFAULT_CONFIG.search_trials,
-    splits: int = DEFAULT_CONFIG.cv_splits, seed: int = DEFAULT_CONFIG.random_state, parallel: int = 4, startup_trials: int = 10,
+    splits: int = DEFAULT_CONFIG.cv_splits, seed: int = DEFAULT_CONFIG.random_state, parallel: int = 8, rung: int = RUNG_ROUNDS,
 ) -> list[Trial]:
-    """Seeded random search minimising the mean MAPE over expanding week folds, best trial first.
+    """Seeded random search minimising the mean MAPE over expanding week folds: finished trials first, best first.
 
-    Trials overlap in driver threads that only submit Spark jobs. After `startup_trials` finished ones, a trial
-    whose fold score is above the median of the others at that fold is dropped.
+    Trials race over one binned table: see `boosting.race`. A dropped trial keeps the score it was dropped with.
     """
     search = split.with_week_key(search)
+    table = bin_rows(search)
+    try:
+        return search_binned(table, search, base, trials, splits, seed, parallel, rung)
+    finally:
+        table.close()
+
+
+def search_binned(
+    table: Binned, search: DataFrame, base: BoostSettings, trials: int, splits: int, seed: int, parallel: int = 8, rung: int = RUNG_ROUNDS
+) -> list[Trial]:
+    """`param_search` over rows that are binned already; `table` may hold later weeks too."""
     folds = split.expanding_folds(split.week_keys(search), splits)
     rng = random.Random(seed)
     planned = [Trial(n, sample_settings(rng, base)) for n in range(trials)]
-    done: list[Trial] = []
-    lock = threading.Lock()
-    rows = search.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def work(trial: Trial) -> None:
-        for fold, (train, validation) in enumerate(folds):
-            # Weeks are consecutive, so a fold is two range predicates.
-            fit_rows = rows.where(F.col(split.WEEK) <= train[-1])
-            check_rows = rows.where(F.col(split.WEEK).between(validation[0], validation[-1]))
-            model, best = fit_with_stop(fit_rows, check_rows, trial.settings)
-            mape = forecast_metrics(score_log(model, check_rows)).first()["MAPE"]
-            with lock:
-                trial.scores.append(mape)
-                trial.iterations.append(best)
-                earlier = [t.scores[fold] for t in done if len(t.scores) > fold]
-                if fold >= 1 and len(done) >= startup_trials and mape > statistics.median(earlier):
-                    trial.pruned = True
-                    return
-        with lock:
-            done.append(trial)
 
-    try:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            list(pool.map(inheritable_thread_target(search.sparkSession)(work), planned))
-    finally:
-        rows.unpersist()
-    return sorted((t for t in planned if not t.pruned), key=lambda t: (t.score, t.number))
+    return race(table, folds, planned, absolute_percent, rung, parallel)
+
+
+def absolute_percent(label: np.ndarray, prediction: np.ndarray) -> np.ndarray:
+    """Terms of the MAPE of `forecast_metrics` from log1p values."""
+    actual, predicted = np.expm1(label), np.expm1(prediction)
+    return np.abs(actual - predicted) / np.maximum(actual, 1.0) * 100
 
 
 def trial_table(spark: SparkSession, trials: Sequence[Trial]) -> DataFrame:
     rows = [
-        (t.number, t.score, int(statistics.median(t.iterations)), t.settings.depth, t.settings.bins, t.settings.step,
+        (t.number, t.score, int(statistics.median(t.iterations)), sum(t.rounds), t.pruned, t.settings.depth, t.settings.bins, t.settings.step,
          t.settings.min_rows, t.settings.row_fraction, t.settings.feature_fraction)
         for t in trials
     ]
     return spark.createDataFrame(
-        rows, "trial int, mape double, trees int, depth int, bins int, step double, min_rows int, row_fraction double, feature_fraction double"
+        rows, "trial int, mape double, trees int, rounds_fitted int, pruned boolean, depth int, bins int, step double, min_rows int, "
+        "row_fraction double, feature_fraction double"
     )
 
 
@@ -256,7 +174,7 @@ class Training:
 
 def train_boosted(
     train: DataFrame, test: DataFrame, settings: BoostSettings | None = None, config: EngineConfig = DEFAULT_CONFIG,
-    base: BoostSettings = BoostSettings(), parallel: int = 4,
+    base: BoostSettings = BoostSettings(), parallel: int = 8,
 ) -> Training:
     """Nested holdout: search (unless settings are given) and stop point on the early weeks, then a refit on all
     training weeks with the number of trees fixed."""
@@ -265,14 +183,17 @@ def train_boosted(
     started = time.monotonic()
     keep = ("Store", "Date", "Sales", split.WEEK, "features", "label")
     fit_all = assemble(split.with_week_key(train), columns, log=True).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    table = bin_rows(fit_all)
     try:
         search, holdout = split.holdout_split(fit_all, config.holdout_ratio)
         if settings is None:
-            settings = param_search(search, base, config.search_trials, config.cv_splits, config.random_state, parallel)[0].settings
-        _, best = fit_with_stop(search, holdout, settings)
-        final = settings.estimator(best).fit(fit_all)
+            settings = search_binned(table, search, base, config.search_trials, config.cv_splits, config.random_state, parallel)[0].settings
+        early, late = split.week_keys(search), split.week_keys(holdout)
+        best = fit_with_stop(table, (early[0], early[-1]), (late[0], late[-1]), settings).best
+        final = fit_rounds(table, settings, best).model(best)
         train_rows = fit_all.count()
     finally:
+        table.close()
         fit_all.unpersist()
     pipeline = PipelineModel(stages=[stage, final])
     predictions = score_log(pipeline, test)

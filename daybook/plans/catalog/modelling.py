@@ -94,11 +94,14 @@ def nested_holdout(spark, sf_dir):
     train, _ = split.time_split(staged_features(spark, sf_dir))
     rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
     search, holdout = split.holdout_split(rows)
-    _, best = models.fit_with_stop(search, holdout, BOOST)
-    refit = BOOST.estimator(best).fit(rows)
+    early, late = split.week_keys(search), split.week_keys(holdout)
+    table = models.bin_rows(rows)
+    run = models.fit_with_stop(table, (early[0], early[-1]), (late[0], late[-1]), BOOST)
+    refit = models.fit_rounds(table, BOOST, run.best).model(run.best)
+    table.close()
     counts = search.agg(F.count(F.lit(1)).alias("search_rows")).withColumns({
         "holdout_rows": holdout.agg(F.count(F.lit(1))).scalar(),
-        "refit_matches": F.lit(refit.getNumTrees == best),
+        "refit_matches": F.lit(refit.getNumTrees == run.best + 1),
     })
     return plain(counts)
 

@@ -19,6 +19,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library wrote and nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _header(spark: SparkSession, path: str, what: str) -> list[str]:
     """Column names of a CSV file or folder: reads one line."""
     if not path_exists(spark, path):

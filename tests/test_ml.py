@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.config import DEFAULT_CONFIG
-from daybook.ml import models, split, training
+from daybook.ml import boosting, models, split, training
 from daybook.plans import jobs
 from daybook.plans.features import build_features, feature_names
 from daybook.sources.tables import Warehouse
@@ -105,6 +105,93 @@ def test_search_is_seeded(features):
     assert runs[0][0].score <= runs[0][1].score
 
 
+@pytest.fixture(scope="module")
+def weekly(features):
+    train, _ = split.time_split(features)
+    rows = models.assemble(split.with_week_key(train), models.model_columns(train), log=True)
+    rows = rows.select("Store", "Date", "Sales", split.WEEK, "features", "label").cache()
+    weeks = split.week_keys(rows)
+    return rows, (weeks[0], weeks[-6]), (weeks[-5], weeks[-1])
+
+
+SMALL = models.BoostSettings(max_iter=300, patience=12, depth=4, step=0.2, min_rows=10, bins=40)
+
+
+def shape(run):
+    return [(t.feature.tolist(), t.cut.tolist(), t.value.round(9).tolist()) for t in run.trees]
+
+
+def test_boosting_continues_and_stops_by_patience(weekly):
+    rows, early, late = weekly
+    table = boosting.bin_rows(rows)
+    assert table.count == 1
+    whole = boosting.fit_with_stop(table, early, late, SMALL)
+    assert whole.finished and whole.rounds == whole.best + SMALL.patience and len(whole.losses) == whole.rounds
+    pieces = boosting.Boosting(table, SMALL, early, late)
+    while not pieces.finished:
+        pieces.advance(7)
+    assert shape(pieces) == shape(whole) and pieces.losses == pytest.approx(whole.losses)
+    other = boosting.fit_with_stop(table, early, late, replace(SMALL, seed=7))
+    assert shape(other) != shape(whole)
+    start = sum(whole.losses[:1])
+    assert whole.losses[whole.best - 1] < 0.5 * start
+
+
+def test_many_blocks_give_the_trees_of_one(weekly, monkeypatch):
+    rows, early, late = weekly
+    monkeypatch.setattr(boosting, "STAGE_ROUNDS", 3)
+    one, many = boosting.bin_rows(rows), boosting.bin_rows(rows, block_rows=200)
+    assert many.count > 3
+    runs = [boosting.Boosting(t, SMALL, early, late) for t in (one, many)]
+    for run in runs:
+        run.advance(8)
+    assert shape(runs[0]) == shape(runs[1]) and runs[0].losses == pytest.approx(runs[1].losses)
+    assert runs[1].staged == 6 and runs[1].path is not None
+    terms = lambda label, score: abs(label - score)
+    assert runs[0].error(late, terms, 5) == pytest.approx(runs[1].error(late, terms, 5))
+    for run in runs:
+        run.close()
+
+
+def test_stored_model_scores_like_the_blocks(weekly, root):
+    rows, early, late = weekly
+    run = boosting.fit_with_stop(boosting.bin_rows(rows), early, late, SMALL)
+    model = run.model()
+    assert model.getNumTrees == run.best + 1
+    model.save(f"{root}/m")
+    held = rows.where(F.col(split.WEEK).between(*late))
+    loss = type(model).load(f"{root}/m").transform(held).agg(F.avg((F.col("label") - F.col("prediction")) ** 2)).first()[0]
+    assert loss == pytest.approx(run.losses[run.best - 1])
+    weights = model.featureImportances.toArray()
+    assert weights.sum() == pytest.approx(1.0) and (weights >= 0).all()
+
+
+def test_a_split_is_the_best_of_all_thresholds():
+    rng = np.random.default_rng(1)
+    x, rest = rng.integers(0, 9, (3, 400)).astype(np.uint8), rng.normal(size=400)
+    rest[x[1] > 4] += 2
+    offsets, features = np.array([0, 9, 18, 27]), np.array([0, 1, 2])
+    settings = replace(SMALL, min_rows=20)
+    sums = boosting.node_sums(x, rest, np.zeros(400, int), np.ones(400, bool), np.array([0]), features, offsets)
+    found = boosting.best_splits(sums, settings, features, offsets)[0]
+    loss = lambda r: ((r - r.mean()) ** 2).sum()
+    plain = max((loss(rest) - loss(rest[x[f] <= c]) - loss(rest[x[f] > c]), f, c) for f in range(3) for c in range(8) if 20 <= (x[f] <= c).sum() <= 380)
+    assert found[0] == pytest.approx(plain[0]) and found[1:3] == plain[1:]
+
+
+def test_race_drops_trials_between_rungs(weekly):
+    rows, *_ = weekly
+    trials = models.param_search(rows, replace(SMALL, patience=10, max_iter=60), trials=6, splits=2, rung=10)
+    finished, dropped = [t for t in trials if not t.pruned], [t for t in trials if t.pruned]
+    assert trials == finished + dropped and finished and dropped
+    assert finished == sorted(finished, key=lambda t: t.score)
+    for t in finished:
+        assert all(r == 60 or r - best == 10 for r, best in zip(t.rounds, t.iterations))
+    assert max(sum(t.rounds) for t in dropped) <= max(sum(t.rounds) for t in finished)
+    table = models.trial_table(rows.sparkSession, trials)
+    assert table.where("pruned").count() == len(dropped) and table.count() == 6
+
+
 def test_training_searches_when_no_settings_are_given(features):
     train, test = split.time_split(features)
     config = replace(DEFAULT_CONFIG, search_trials=2, cv_splits=2)
@@ -154,7 +241,8 @@ def test_registered_entries_train_with_the_default_settings(monkeypatch):
     monkeypatch.setattr(modelling.split, "time_split", lambda *_: (None, None))
     monkeypatch.setattr(modelling.split, "holdout_split", lambda *_: (None, None))
     monkeypatch.setattr(modelling.split, "with_week_key", lambda *_: None)
-    for name, fake in (("assemble", lambda *_, **__: rows), ("model_columns", lambda *_: []), ("baselines", lambda *_: (None, None))):
+    monkeypatch.setattr(modelling.split, "week_keys", lambda *_: [0])
+    for name, fake in (("bin_rows", lambda *_: None), ("assemble", lambda *_, **__: rows), ("model_columns", lambda *_: []), ("baselines", lambda *_: (None, None))):
         monkeypatch.setattr(models, name, fake)
     for name in ("train_boosted", "fit_with_stop", "param_search"):
         monkeypatch.setattr(models, name, record)
