@@ -2,7 +2,8 @@
 
 The scans of induced sorting go bucket by bucket: all suffixes of a bucket that are known so far pass their predecessors on at once,
 in order, to the ends of their buckets; what falls into the same bucket is the next generation. So a scan takes a few array
-operations for each byte value, not one step for each suffix.
+operations for each byte value, not one step for each suffix. The names of the leftmost-smaller substrings are sorted by the same
+recursion at every size; their string has so many different values that its scans go suffix by suffix instead.
 """
 
 from __future__ import annotations
@@ -66,33 +67,30 @@ def _induce(s: np.ndarray, small: np.ndarray, sizes: np.ndarray, seeds: np.ndarr
     return array
 
 
-def _by_doubling(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a string of nearly all different values: ranks of ever longer prefixes, only where they tie."""
-    n = len(s)
-    order = np.argsort(s, kind="stable")
-    rank = np.zeros(n, np.int64)
-    fresh = np.concatenate([[True], s[order][1:] != s[order][:-1]])
-    first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    rank[order] = first
-    step = 1
-    while True:
-        same = np.zeros(n, bool)
-        same[1:] = first[1:] == first[:-1]
-        tied = same.copy()
-        tied[:-1] |= same[1:]
-        at = np.flatnonzero(tied)
-        if not len(at):
-            return order
-        items = order[at]
-        after = items + step
-        key = first[at] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        inner = np.argsort(key, kind="stable")
-        order[at] = items[inner]
-        key = key[inner]
-        fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        first[at] = np.maximum.accumulate(np.where(fresh, at, 0))
-        rank[order[at]] = first[at]
-        step *= 2
+def _induce_by_step(s: np.ndarray, small: np.ndarray, sizes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The same, suffix by suffix with a counter for each bucket: for strings of very many different values."""
+    n, values, rising = len(s), s.tolist(), small.tolist()
+    array, ends = [-1] * n, np.cumsum(sizes).tolist()
+    for i in seeds[::-1].tolist():
+        ends[values[i]] -= 1
+        array[ends[values[i]]] = i
+    heads = (np.cumsum(sizes) - sizes).tolist()
+    for k in range(n):
+        i = array[k] - 1
+        if i >= 0 and not rising[i]:
+            v = values[i]
+            array[heads[v]] = i
+            heads[v] += 1
+    ends = np.cumsum(sizes).tolist()
+    for k in range(n - 1, -1, -1):
+        i = array[k] - 1
+        if i >= 0 and rising[i]:
+            ends[values[i]] -= 1
+            array[ends[values[i]]] = i
+    return np.array(array, np.int64)
+
+
+_STEP_COST = 64  # suffixes taken one by one cost as much as one bucket taken whole
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -105,7 +103,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     lead = np.zeros(n, bool)
     lead[1:] = small[1:] & ~small[:-1]
     seeds = np.flatnonzero(lead)
-    array = _induce(s, small, sizes, seeds)
+    induce = _induce if np.count_nonzero(sizes) * _STEP_COST <= n else _induce_by_step
+    array = induce(s, small, sizes, seeds)
     placed = array[lead[array]]
     # Equal leftmost-smaller substrings get one name.
     length = np.zeros(n, np.int64)
@@ -125,9 +124,8 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         names = np.zeros(n, np.int64)
         names[placed] = name
         reduced = names[seeds]
-        order = suffix_array(reduced) if name[-1] < 2048 else _by_doubling(reduced)
-        placed = seeds[order]
-    return _induce(s, small, sizes, placed)
+        placed = seeds[suffix_array(reduced)]
+    return induce(s, small, sizes, placed)
 
 
 def permuted_prefixes(s: np.ndarray, array: np.ndarray) -> np.ndarray:

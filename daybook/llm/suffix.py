@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.arrowmap import lists, over_texts
-from daybook.llm.byteops import flat, mix, prefix, ranges
-from daybook.llm.registry import staged
+from daybook.llm.byteops import SLICE_BYTES, flat, mix, prefix, ranges, slices
+from daybook.llm.registry import in_passing, staged
 from daybook.llm.sais import permuted_prefixes, suffix_array
 
 LENGTH = 400
@@ -126,11 +126,18 @@ def _cut(length: int):
         names = ["anchor", "digest", "piece", "crowded"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.bool_()]
         for batch in batches:
-            for text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i in range(len(batch)):
+                text = batch.column(0)[i].as_py()
                 data = text.encode() if isinstance(text, str) else text
-                rows = [(r["anchor"], r["digest"], data[r["start"] : r["start"] + r["windows"] - 1 + length], r["crowded"]) for r in runs]
-                for lo in range(0, len(rows), 5000):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[lo : lo + 5000]), kinds)], names=names)
+                rows, size = [], 0
+                for r in batch.column(1)[i].as_py():
+                    rows.append((r["anchor"], r["digest"], data[r["start"] : r["start"] + r["windows"] - 1 + length], r["crowded"]))
+                    size += len(rows[-1][2])
+                    if size >= SLICE_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
+                        rows, size = [], 0
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
     return work
 
@@ -199,7 +206,7 @@ def _runs(texts: DataFrame, length: int, anchor: int) -> DataFrame:
 
 
 def _repeated(runs: DataFrame, texts: DataFrame, length: int, anchors: tuple[int, ...], crowd: int, shard_bytes: int) -> DataFrame:
-    """(key, from, to) of repeated windows. runs: (key, anchor, digest, start, windows, own), texts: (key, text); keys are different texts."""
+    """(key, spans) of repeated windows, a row for each run. runs: (key, anchor, digest, start, windows, own), texts: (key, text); keys are different texts."""
     # Different runs with their number and one place; and how many each anchor has.
     place = F.struct("key", "start", "windows", "own")
     different = runs.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
@@ -225,12 +232,36 @@ def _repeated(runs: DataFrame, texts: DataFrame, length: int, anchors: tuple[int
     if len(anchors) > 1 and not many.isEmpty():
         many = many.select(F.concat_ws("/", "anchor", "digest").cast("binary").alias("key"), F.col("piece").alias("text"))
         finer = staged(_runs(many, length, anchors[1]), "runs").select("key", F.inline("runs"))
-        finer = _repeated(finer, many, length, anchors[1:], crowd, shard_bytes)
+        finer = _repeated(finer, many, length, anchors[1:], crowd, shard_bytes).select("key", F.inline("spans"))
         parts = F.split(F.col("key").cast("string"), "/")
         found = found.unionByName(finer.select(parts[0].cast("long").alias("anchor"), parts[1].cast("long").alias("digest"), "from", "to"))
-    found = staged(found, "repeated")
+    # One row for each run, however many places of it were found, before it goes back to all the places of the run.
+    found = found.groupBy("anchor", "digest").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    found = staged(found.mapInArrow(_merged_spans, "anchor long, digest long, spans array<struct<from:long,to:long>>"), "repeated")
     back = runs.select("key", "anchor", "digest", "start").join(found, ["anchor", "digest"])
-    return back.select("key", (F.col("start") + F.col("from")).alias("from"), (F.col("start") + F.col("to")).alias("to"))
+    moved = F.transform("spans", lambda x: F.struct((F.col("start") + x["from"]).alias("from"), (F.col("start") + x["to"]).alias("to")))
+    return back.select("key", moved.alias("spans"))
+
+
+def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The intervals [start, end) merged where they meet or overlap."""
+    if len(starts) < 2:
+        return starts, ends
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.concatenate([[True], starts[1:] > reach[:-1]])
+    return starts[first], reach[np.append(np.flatnonzero(first)[1:] - 1, len(reach) - 1)]
+
+
+def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column(2)
+        bounds, flat_ = np.asarray(column.offsets), column.values
+        begin, end = (flat_.field(k).to_numpy() for k in (0, 1))
+        merged = [union(begin[lo:hi], end[lo:hi]) for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        struct = pa.StructArray.from_arrays([pa.array(np.concatenate([m[k] for m in merged] or [begin[:0]])) for k in (0, 1)], ["from", "to"])
+        counts = np.array([len(m[0]) for m in merged], np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(struct, counts)], names=["anchor", "digest", "spans"])
 
 
 def spans(
@@ -250,7 +281,7 @@ def spans(
     # Copies of a text are one row per map task before the exchange, which the join with the wanted runs then shares.
     holders = texts.groupBy(digest).agg(F.any_value("text").alias("text"))
     windows = _repeated(distinct.select("key", F.inline("runs")), holders, length, anchors, crowd, shard_bytes)
-    by_text = windows.groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    by_text = windows.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     copied = distinct.where("copies > 1").select("key", "copies")
     return by_text.join(copied, "key", "full").select("key", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), "spans")
 
@@ -282,54 +313,53 @@ def word_codes(column: pa.Array) -> pa.Array:
 _REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
-def _word_cover(cover: np.ndarray, whole: bytes, copies: int, windows: list[dict] | None, words: int) -> None:
-    """Adds the bytes of the repeated windows of `words` words; windows are places in the text's codes."""
+def _word_spans(whole: bytes, copies: int, windows: list[dict] | None, words: int) -> list[tuple[int, int]]:
+    """The bytes of the repeated windows of `words` words; windows are places in the text's codes."""
     if copies == 1 and not windows:
-        return
+        return []
     at = np.array([m.span() for m in _WORD.finditer(whole)], np.int64).reshape(-1, 2)
-    last = len(at) - words  # the last window's first word
+    last, out = len(at) - words, []  # the last window's first word
     for w in [{"from": 0, "to": last * _CODE + 1}] if copies > 1 else windows:
         first, end = -(-w["from"] // _CODE), -(-w["to"] // _CODE)
         if first < end <= last + 1:
-            np.add.at(cover, [at[first, 0]], 1)
-            np.add.at(cover, [at[end - 1 + words - 1, 1]], -1)
+            out.append((int(at[first, 0]), int(at[end - 1 + words - 1, 1])))
+    return out
 
 
 def _remove(length: int, text: str, as_text: bool, words: int | None):
+    def one(whole: bytes, copies: int | None, windows: list[dict] | None, word_copies: int | None, word_windows: list[dict] | None):
+        if (copies or 1) > 1 and len(whole) >= length:
+            found = [(0, len(whole))]
+        else:
+            found = [(w["from"], w["to"] - 1 + length) for w in windows or []]
+        if words:
+            found += _word_spans(whole, word_copies or 1, word_windows, words)
+        if not found:
+            none = np.empty(0, np.int64)
+            return none, none, whole
+        starts, ends = union(*np.array(found, np.int64).T)
+        edges = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(whole)]
+        return starts, ends, b"".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            data = [(t or "").encode() for t in batch.column(at).to_pylist()]
-            counts, kept, starts, ends, sizes = [], [], [], [], []
-            none = [None] * len(data)
-            by_word = [batch.column(c).to_pylist() for c in ("_word_copies", "_word_spans")] if words else [none, none]
-            for whole, copies, windows, word_copies, word_windows in zip(
-                data, batch.column("_copies").to_pylist(), batch.column("_spans").to_pylist(), *by_word
-            ):
-                cover = np.zeros(len(whole) + 1, np.int64)
-                if (copies or 1) > 1 and len(whole) >= length:
-                    cover[[0, len(whole)]] = 1, -1
-                elif windows:
-                    np.add.at(cover, [w["from"] for w in windows], 1)
-                    np.add.at(cover, [w["to"] - 1 + length for w in windows], -1)
-                if words:
-                    _word_cover(cover, whole, word_copies or 1, word_windows, words)
-                gone = np.cumsum(cover)[:-1] > 0
-                edge = np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))
-                starts.append(np.flatnonzero(edge == 1))
-                ends.append(np.flatnonzero(edge == -1))
-                counts.append(len(starts[-1]))
-                kept.append(np.frombuffer(whole, np.uint8)[~gone].tobytes() if counts[-1] else whole)
-                sizes.append(len(whole))
-            names = [n for n in batch.schema.names if n not in ("_copies", "_spans", "_word_copies", "_word_spans")]
-            flat_ = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-            struct = pa.StructArray.from_arrays([pa.array(flat_(starts)), pa.array(flat_(ends))], ["start", "end"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names]
-                + [pa.array(sizes, pa.int64()), lists(struct, np.array(counts, np.int64)), pa.array(kept, pa.binary())]
-                + [pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] * as_text,
-                names=[*names, "n_bytes", "removed", "kept"] + ["kept_text"] * as_text,
-            )
+        for wide in batches:
+            bounds = flat(wide.column(wide.schema.get_field_index(text)))[1]
+            for lo, hi in slices(bounds):
+                batch = wide.slice(lo, hi - lo)
+                data = [(t or "").encode() for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                none = [None] * len(data)
+                told = [batch.column(c).to_pylist() for c in ("_copies", "_spans")]
+                told += [batch.column(c).to_pylist() for c in ("_word_copies", "_word_spans")] if words else [none, none]
+                made = [one(*row) for row in zip(data, *told)]
+                names = [n for n in batch.schema.names if n not in ("_copies", "_spans", "_word_copies", "_word_spans")]
+                ends = [pa.array(np.concatenate([m[k] for m in made] or [np.empty(0, np.int64)])) for k in (0, 1)]
+                counts, kept = np.array([len(m[0]) for m in made], np.int64), [m[2] for m in made]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(n) for n in names]
+                    + [pa.array([len(d) for d in data], pa.int64()), lists(pa.StructArray.from_arrays(ends, ["start", "end"]), counts), pa.array(kept, pa.binary())]
+                    + [pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] * as_text,
+                    names=[*names, "n_bytes", "removed", "kept"] + ["kept_text"] * as_text,
+                )
 
     return work
 
@@ -340,7 +370,7 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_t
     as_text: kept_text as well, without the characters that a removal has cut in two. words: passages of that many words
     (12 at least) that start elsewhere too go as well.
     """
-    found = staged(spans(df, text, length, **settings), "spans")
+    found = in_passing(lambda: spans(df, text, length, **settings), "spans")
     made = ["n_bytes", "removed", "kept"] + ["kept_text"] * as_text
     own = [c for c in df.columns if c not in made]
     rows = df.select(own).withColumn("_key", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
@@ -349,7 +379,8 @@ def remove_repeats(df: DataFrame, text: str = "text", length: int = LENGTH, as_t
         codes = lambda d: over_texts(d, text, {"_codes": T.BinaryType()}, lambda c: {"_codes": word_codes(c)})
         # The last word of a window goes without what follows it.
         size = words * _CODE - 2
-        found = staged(spans(codes(df.select(text)), "_codes", size, (64, size - 64, size - 8, size) if size > 136 else (size - 8, size)), "word_spans")
+        anchors = (64, size - 64, size - 8, size) if size > 136 else (size - 8, size)
+        found = in_passing(lambda: spans(codes(df.select(text)), "_codes", size, anchors), "word_spans")
         rows = codes(rows).withColumn("_word_key", F.unhex(F.md5("_codes"))).drop("_codes")
         found = found.select(F.col("key").alias("_word_key"), F.col("copies").alias("_word_copies"), F.col("spans").alias("_word_spans"))
         rows = rows.join(found, "_word_key", "left").drop("_word_key")

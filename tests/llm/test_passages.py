@@ -162,3 +162,38 @@ def test_a_text_that_repeats_itself_at_any_period(spark):
         texts.append("<" + unit * (90 // period + 2) + ">")
     for anchors in ((12, 40), (12, 30, 40), (40,)):
         check_repeats(spark, texts, 40, anchors=anchors, crowd=1)
+
+
+def test_long_prose_recurses_and_is_sorted(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    text = " ".join(rng.choices(words, k=150_000)).encode()[: 1 << 20]
+    s = np.concatenate([np.frombuffer(text, np.uint8), [0]]).astype(np.uint8)
+    depth, stepwise = [], []
+    inner, step = sais.suffix_array, sais._induce_by_step
+    monkeypatch.setattr(sais, "suffix_array", lambda x: depth.append(int(x.max())) or inner(x))
+    monkeypatch.setattr(sais, "_induce_by_step", lambda *a: stepwise.append(1) or step(*a))
+    array = sais.suffix_array(s)
+    assert len(depth) > 1 and depth[1] > 2048 and stepwise  # the names were sorted by the recursion
+    assert (np.sort(array) == np.arange(len(s))).all()
+    data = s.tobytes()
+    ranked = array.tolist()
+    assert all(data[a : a + 300] <= data[b : b + 300] for a, b in zip(ranked, ranked[1:]))
+
+
+def test_many_places_of_one_run_come_back_once(spark):
+    rng = random.Random(6)
+    line = " ".join("".join(rng.choice("abcdefg") for _ in range(6)) for _ in range(90))
+    rows = [(k, f"{k} {rng.random()} " + line + f" {rng.random()} {k}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    back = suffix.spans(df, "text", crowd=5)
+    assert back.count() == 60 and {r["doc_id"]: r["n"] for r in suffix.remove_repeats(df, crowd=5).selectExpr("doc_id", "size(removed) n").collect()} == {k: 1 for k in range(60)}
+
+
+def test_union_of_intervals():
+    for seed in range(40):
+        rng = random.Random(seed)
+        pairs = [(a, a + rng.randint(1, 6)) for a in (rng.randint(0, 40) for _ in range(rng.randint(1, 9)))]
+        covered = {x for a, b in pairs for x in range(a, b)}
+        starts, ends = suffix.union(*np.array(pairs).T)
+        assert {x for a, b in zip(starts, ends) for x in range(a, b)} == covered and (starts[1:] > ends[:-1]).all()
