@@ -1,9 +1,11 @@
-"""Durable tables as partitioned Parquet folders: sales_history, predictions, pipeline_runs, model_metrics.
-
-A replace (upsert, retention) is done in two steps that survive a lost driver as well as lost executors: the new
-content of the touched months is written to a side folder first, then the month folders are moved into the table.
-Repeating the second step gives the same table; `recover` does so for a side folder that was completed but not
-applied.
+"""Durable tables as Parquet folders: sales_history, predictions, pipeline_runs, model_metrics.
+
+The history has a commit log. Every change writes the new content of the months it touches to a folder of its own
+(`commit=<id>/month=<month>`) and then one small file `_log/<version>.json`, which says in which folder each month is. A reader takes
+the newest version and keeps its files, so it sees all of a change or nothing, also while writers are at work. A log file can
+be made only once (a rename that never replaces): of two writers one comes second, looks at what the other changed, and commits on top
+if no month was touched by both, else works out its change again. A writer that is lost before its commit leaves the table as it
+was; `recover` commits what was complete, and `vacuum` removes folders that no version of late refers to.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -25,7 +28,8 @@ from daybook.sources.files import path_exists
 
 SCHEMA_VERSION = 1
 MONTH = "month"
-_MONTH_LIST = "part string, filled boolean"
+_COMMIT = "commit"
+_ATTEMPTS = 5
 PARTITIONS: dict[str, str | None] = {
     "sales_history": MONTH, "predictions": "run_id", "pipeline_runs": None, "model_metrics": None,
 }
@@ -61,6 +65,18 @@ def history_rows(df: DataFrame) -> DataFrame:
     )
 
 
+class ConcurrentChange(RuntimeError):
+    """Another writer changed the same months first."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """A version of the history: the folder of each month."""
+
+    version: int
+    months: dict[str, str]
+
+
 class Warehouse:
     """The four tables under one root folder. All methods but the writers return lazy frames."""
 
@@ -74,6 +90,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
+        if table == "sales_history":
+            return self.read_history(self.snapshot())
         schema = TABLES[table]
         if not path_exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], schema)
@@ -84,41 +102,97 @@ class Warehouse:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm.org.apache.hadoop.fs.Path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _month_path(self, month: str) -> str:
-        return f"{self.path('sales_history')}/{MONTH}={month}"
+    # --- commit log of the history ------------------------------------------------------------------------
 
-    def _replace_months(self, content: DataFrame, months: Sequence[str]) -> None:
-        """Rewrites whole months. `content` may read the table: it is written to the side folder first."""
-        side = f"{self.root}/_pending/{uuid.uuid4().hex}"
-        self._write_months(content, side)
+    def _log_path(self, version: int) -> str:
+        return f"{self.root}/_log/{version:020d}.json"
+
+    def versions(self) -> list[int]:
+        path, fs = self._fs()
+        log = path(f"{self.root}/_log")
+        names = [s.getPath().getName() for s in fs.listStatus(log)] if fs.exists(log) else []
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def snapshot(self, version: int | None = None) -> Snapshot:
+        """The newest version of the history, or an older one."""
+        known = self.versions()
+        if version is None:
+            version = known[-1] if known else 0
+        if version == 0:
+            return Snapshot(0, {})
+        if version not in known:
+            raise ValueError(f"no version {version} of the history")
+        return Snapshot(version, json.loads(self._read_text(self._log_path(version)))["months"])
+
+    def read_history(self, snapshot: Snapshot) -> DataFrame:
+        """The stored rows of one version; its files are fixed when this is called."""
+        if not snapshot.months:
+            return self.spark.createDataFrame([], TABLES["sales_history"])
+        base = self.path("sales_history")
+        paths = [f"{base}/{_COMMIT}={commit}/{MONTH}={month}" for month, commit in sorted(snapshot.months.items())]
+        schema = stored_schema("sales_history").add(_COMMIT, T.StringType())
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop(_COMMIT)
+
+    def _read_text(self, file: str) -> str:
+        path, fs = self._fs()
+        stream = fs.open(path(file))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _write_text(self, file: str, text: str) -> None:
+        """A whole file or none, and never in place of another one: FileExistsError then."""
         path, fs = self._fs()
-        listed = [(m, bool(fs.exists(path(f"{side}/{MONTH}={m}")))) for m in months]
-        # The list marks `side` as complete and names the months that lost all their rows.
-        self.spark.createDataFrame(listed, _MONTH_LIST).coalesce(1).write.json(f"{side}-months")
+        jvm, side = self.spark._jvm, path(f"{self.root}/_log/.{uuid.uuid4().hex}")
+        fs.mkdirs(side.getParent())
+        fs.mkdirs(path(file).getParent())
+        stream = fs.create(side, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        never_replace = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(side, path(file), never_replace)
+        except Exception as error:  # noqa: BLE001 - told apart by whether the file is there
+            fs.delete(side, False)
+            if fs.exists(path(file)):
+                raise FileExistsError(file) from error
+            raise
+
+    def _change(self, base: Snapshot, content: DataFrame | None, months: Sequence[str]) -> None:
+        """Commits `content` as the whole of `months`, as they were in `base`. `content` may read the table."""
+        commit = uuid.uuid4().hex
+        folder = f"{self.path('sales_history')}/{_COMMIT}={commit}"
+        path, fs = self._fs()
+        if content is not None:
+            # The rebalance hint lets adaptive execution cut a large month into files of one size and join small ones.
+            content.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "store_id", "date").write.partitionBy(MONTH).parquet(folder)
+        filled = {m: commit if fs.exists(path(f"{folder}/{MONTH}={m}")) else None for m in months}
+        before = {m: base.months.get(m) for m in months}
+        side = f"{self.root}/_pending/{commit}.json"
+        self._write_text(side, json.dumps({"before": before, "after": filled}))
         self._apply(side)
 
-    def _write_months(self, content: DataFrame, path: str) -> None:
-        # The rebalance hint lets adaptive execution cut a large month into files of one size and join small ones.
-        content.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "store_id", "date").write.mode("append").partitionBy(MONTH).parquet(path)
-
     def _apply(self, side: str) -> None:
-        """Moves finished month folders into the table. Repeatable: a month without a folder here was moved before."""
+        """Commits a change that is written, on top of what others have committed meanwhile; `ConcurrentChange` if they touched its months."""
+        change = json.loads(self._read_text(side))
         path, fs = self._fs()
-        marker = f"{side}-months"
-        for row in self.spark.read.schema(_MONTH_LIST).json(marker).collect():
-            target, fresh = path(self._month_path(row["part"])), path(f"{side}/{MONTH}={row['part']}")
-            if not row["filled"]:
-                fs.delete(target, True)
-            elif fs.exists(fresh):
-                fs.delete(target, True)
-                fs.mkdirs(target.getParent())
-                if not fs.rename(fresh, target):
-                    raise OSError(f"could not move {fresh} to {target}")
-        fs.delete(path(marker), True)
-        fs.delete(path(side), True)
+        while True:
+            now = self.snapshot()
+            if any(now.months.get(m) != commit for m, commit in change["before"].items()):
+                fs.delete(path(side), False)
+                raise ConcurrentChange(f"another writer changed {sorted(change['before'])}")
+            months = {m: c for m, c in (now.months | change["after"]).items() if c is not None}
+            try:
+                self._write_text(self._log_path(now.version + 1), json.dumps({"months": months}))
+                break
+            except FileExistsError:
+                continue
+        fs.delete(path(side), False)
 
     def recover(self) -> int:
-        """Applies completed side folders left by an interrupted writer, drops incomplete ones."""
+        """Commits the complete changes of lost writers, unless others changed the same months since; drops the rest."""
         path, fs = self._fs()
         pending = f"{self.root}/_pending"
         if not fs.exists(path(pending)):
@@ -126,15 +200,35 @@ class Warehouse:
         applied = 0
         for status in fs.listStatus(path(pending)):
             side = str(status.getPath().toString())
-            if side.endswith("-months"):
+            if not side.endswith(".json"):
+                fs.delete(path(side), True)
+                continue
+            change = json.loads(self._read_text(side))
+            if all(self.snapshot().months.get(m) == c for m, c in change["after"].items()):
+                fs.delete(path(side), False)  # was committed; only the note of it is left
                 continue
-            if fs.exists(path(f"{side}-months/_SUCCESS")):
+            try:
                 self._apply(side)
                 applied += 1
-            else:
-                fs.delete(path(side), True)
+            except ConcurrentChange:
+                continue
         return applied
 
+    def vacuum(self, keep: int = 10) -> int:
+        """Removes folders that none of the last `keep` versions refers to, and older log files; run it while no writer is at work."""
+        path, fs = self._fs()
+        known = self.versions()
+        used = {c for v in known[-keep:] for c in self.snapshot(v).months.values()}
+        base, removed = path(self.path("sales_history")), 0
+        for status in fs.listStatus(base) if fs.exists(base) else []:
+            name = status.getPath().getName()
+            if name.startswith(f"{_COMMIT}=") and name.split("=")[1] not in used:
+                fs.delete(status.getPath(), True)
+                removed += 1
+        for version in known[:-keep]:
+            fs.delete(path(self._log_path(version)), False)
+        return removed
+
     # --- sales history ------------------------------------------------------------------------------------
 
     def load_history(self, since: date | str | None = None, until: date | str | None = None) -> DataFrame:
@@ -161,37 +255,37 @@ class Warehouse:
         months = sorted(r[0] for r in months)
         if not months:
             return 0
-        path, fs = self._fs()
-        known = [m for m in months if fs.exists(path(self._month_path(m)))]
-        in_known = F.date_format("Date", "yyyy-MM").isin(known)
-        if known:
-            stored = self.read("sales_history").where(F.col(MONTH).isin(known))
-            merged = history_ops.merge_history(from_table_columns(stored, HISTORY_MAP), new.where(in_known), order_by)
-            self._replace_months(history_rows(merged), known)
-        if len(known) < len(months):
-            # Months the table does not have yet are appended; a writer lost half-way leaves rows that the
-            # repeated upsert replaces by key.
-            fresh = new.where(~in_known) if known else new
-            self._write_months(history_rows(history_ops.last_per_day(fresh, order_by)), self.path("sales_history"))
+        for attempt in range(_ATTEMPTS):
+            base = self.snapshot()
+            known = [m for m in months if m in base.months]
+            if known:
+                stored = self.read_history(base).where(F.col(MONTH).isin(known))
+                merged = history_ops.merge_history(from_table_columns(stored, HISTORY_MAP), new, order_by)
+            else:
+                merged = history_ops.last_per_day(new, order_by)
+            try:
+                self._change(base, history_rows(merged), months)
+                break
+            except ConcurrentChange:
+                if attempt == _ATTEMPTS - 1:
+                    raise
         return len(months)
 
     def delete_history_before(self, cutoff: date | str) -> int:
-        """Retention; returns the number of rows removed. Whole months are dropped without reading them again."""
-        stored = self.read("sales_history")
+        """Retention, as one change; returns the number of rows removed. Whole months are dropped without reading them again."""
+        base = self.snapshot()
+        stored = self.read_history(base)
         if MONTH not in stored.columns:
             return 0
         day = F.lit(cutoff).cast("date")
         old = stored.where((F.col(MONTH) <= F.date_format(day, "yyyy-MM")))
         months = {r[0]: r for r in old.groupBy(MONTH).agg(F.count_if(F.col("date") < day), F.count(F.lit(1))).collect()}
-        removed = sum(r[1] for r in months.values())
-        path, fs = self._fs()
-        for month, row in months.items():
-            if row[1] == row[2]:
-                fs.delete(path(self._month_path(month)), True)
-            elif row[1]:
-                kept = stored.where((F.col(MONTH) == month) & (F.col("date") >= day))
-                self._replace_months(kept, [month])
-        return removed
+        touched = [m for m, r in months.items() if r[1]]
+        trimmed = [m for m, r in months.items() if 0 < r[1] < r[2]]
+        kept = stored.where(F.col(MONTH).isin(trimmed) & (F.col("date") >= day)) if trimmed else None
+        if touched:
+            self._change(base, kept, touched)
+        return sum(r[1] for r in months.values())
 
     # --- predictions --------------------------------------------------------------------------------------
 

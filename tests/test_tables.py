@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daybook.operators import history, runs
-from daybook.sources.tables import Warehouse
+from daybook.sources.tables import ConcurrentChange, Warehouse
 
 SCHEMA = "Store int, Date date, Sales double, DayOfWeek int, Promo int, StateHoliday string, SchoolHoliday int"
 
@@ -163,3 +163,62 @@ def test_history_bounds_prune_months(spark, root):
     assert some.count() == 40
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "2024-02" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_reader_sees_one_version_while_writers_work(spark, root):
+    w = Warehouse(spark, root)
+    w.upsert_history(rows(spark, (1, "2024-01-01", 1.0), (1, "2024-02-01", 2.0)))
+    reader = w.load_history()
+    w.upsert_history(rows(spark, (1, "2024-01-01", 10.0), (1, "2024-02-01", 20.0), (1, "2024-03-01", 30.0)))
+    w.delete_history_before("2024-02-01")
+    assert sorted(r.Sales for r in reader.collect()) == [1.0, 2.0]
+    assert sorted(r.Sales for r in w.load_history().collect()) == [20.0, 30.0]
+    assert w.versions() == [1, 2, 3]  # known and new months of an upsert are one change
+    assert sorted(r.sales for r in w.read_history(w.snapshot(1)).collect()) == [1.0, 2.0]
+    with pytest.raises(ValueError):
+        w.snapshot(9)
+    assert w.vacuum(keep=1) == 1 and w.versions() == [3]
+    assert sorted(r.Sales for r in w.load_history().collect()) == [20.0, 30.0]
+
+
+@pytest.mark.parametrize("step", ["write", "note", "commit"])
+def test_a_killed_writer_leaves_old_or_new(spark, root, monkeypatch, step):
+    w = Warehouse(spark, root)
+    w.upsert_history(rows(spark, (1, "2024-01-01", 1.0), (1, "2024-02-01", 2.0)))
+    old, new = [1.0, 2.0], [5.0, 6.0, 7.0]
+    real = Warehouse._write_text
+
+    def crash(self, file, text):
+        if step == "note" or "_log/0" in file:
+            if step == "commit":
+                real(self, file, text)
+            raise OSError("driver lost")
+        real(self, file, text)
+
+    monkeypatch.setattr(Warehouse, "_write_text", crash)
+    with pytest.raises(OSError):
+        w.upsert_history(rows(spark, (1, "2024-01-01", 5.0), (1, "2024-02-01", 6.0), (2, "2024-03-01", 7.0)))
+    monkeypatch.setattr(Warehouse, "_write_text", real)
+    assert sorted(r.Sales for r in w.load_history().collect()) == (new if step == "commit" else old)
+    assert w.recover() == (1 if step == "write" else 0)
+    assert sorted(r.Sales for r in w.load_history().collect()) == (old if step == "note" else new)
+
+
+def test_writers_at_the_same_time_commit_one_after_the_other(spark, root):
+    from concurrent.futures import ThreadPoolExecutor
+
+    w = Warehouse(spark, root)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: w.upsert_history(rows(spark, (k, "2024-01-01", float(k)), (k, f"2024-0{k}-02", 1.0))), range(1, 5)))
+    assert len(stored(w)) == 8 and [s for s in stored(w) if s[2] > 1] == [(k, "2024-01-01", float(k)) for k in range(2, 5)]
+
+
+def test_a_stale_change_is_refused(spark, root):
+    w = Warehouse(spark, root)
+    w.upsert_history(rows(spark, (1, "2024-01-01", 1.0)))
+    base = w.snapshot()
+    w.upsert_history(rows(spark, (2, "2024-01-01", 2.0)))
+    with pytest.raises(ConcurrentChange):
+        w._change(base, None, ["2024-01"])
+    w._change(base, None, ["2024-05"])  # another month: on top of the newer version
+    assert len(stored(w)) == 2
