@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators import comoments
 from daybook.operators.quantiles import exact_percentiles
 from daybook.session import materialize
 
@@ -96,21 +96,17 @@ def pearson(a: Column, b: Column) -> Column:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Long form (a, b, corr) of all ordered pairs; pairwise complete rows; one aggregate for all of them."""
-    columns = list(columns or numeric_columns(df))
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(
-        *[pearson(F.col(a), F.col(b)).alias(f"c{n}") for n, (a, b) in enumerate(pairs)],
-        *[F.coalesce(F.var_pop(F.col(c)), F.lit(0.0)).alias(f"v{n}") for n, c in enumerate(columns)],
-    )
-
-    def cell(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr"))
+    """Long form (a, b, corr) of all ordered pairs over the rows where both are known; NULL for a constant column.
 
-    cells = [cell(c, c, F.when(F.col(f"v{n}") > 0, F.lit(1.0))) for n, c in enumerate(columns)]
-    for n, (a, b) in enumerate(pairs):
-        cells += [cell(a, b, F.col(f"c{n}")), cell(b, a, F.col(f"c{n}"))]
-    return wide.select(F.inline(F.array(*cells)))
+    Tasks fold their rows into co-moment matrices, which are merged in two steps: the plan is the same for any number of columns,
+    and what is shuffled are a few m x m matrices per task.
+    """
+    columns = list(columns or numeric_columns(df))
+    values = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in columns]).alias("v"))
+    parts = values.mapInArrow(comoments.fold(len(columns)), comoments.SCHEMA)
+    merged = parts.repartition(comoments.FAN_IN).mapInArrow(comoments.merge, comoments.SCHEMA)
+    whole = merged.repartition(1).mapInArrow(comoments.merge, comoments.SCHEMA)
+    return whole.mapInArrow(comoments.correlations(columns), "a string, b string, corr double")
 
 
 def correlation_with(df: DataFrame, target: str = "Sales", threshold: float = 0.1) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from daybook.operators import joins, panel, runs
+from daybook.operators import eda, joins, panel, runs
 from daybook.plans import jobs
 from daybook.plans.catalog.base import (
     CLEANED, KEYS, MERGED, PANEL, STORE_DIM, ctes, fill_sql, i, lag_sql, plain, query, r, s,
@@ -94,6 +94,30 @@ def feature_job(spark, sf_dir):
     return plain(shifted, 6, _DIGITS)
 
 
+def _plain_feature(name: str) -> str:
+    column = f'"{name}"'
+    return f'cast({_FILLS.get(name) or _ROW.get(name, column)} as double) as "{name}"'
+
+
+_ORDER = feature_names()
+_PAIRS = [(a, b) for k, a in enumerate(_ORDER) for b in _ORDER[k + 1 :]]
+_WIDE = "wide as (select " + ", ".join(
+    [f'case when stddev_pop("{a}") > 0 and stddev_pop("{b}") > 0 then corr("{a}", "{b}") end as "{a} {b}"' for a, b in _PAIRS]
+    + [f'case when stddev_pop("{a}") > 0 then 1.0::double end as "{a} {a}"' for a in _ORDER]
+) + " from features)"
+
+
+@query("feature_correlations", ctes(PANEL, STORE_DIM, MERGED, _IMPUTED, _STAGED, f"features as (select {', '.join(map(_plain_feature, _ORDER))} from sequenced)",
+    _WIDE, "long as (from wide unpivot include nulls (corr for pair in (columns(*))))") + f"""
+select split_part(pair, ' ', 1) as a, split_part(pair, ' ', 2) as b, {r("corr + 0.00000037", 5)} as corr from long
+union all select split_part(pair, ' ', 2), split_part(pair, ' ', 1), {r("corr + 0.00000037", 5)} from long where split_part(pair, ' ', 1) <> split_part(pair, ' ', 2)""")
+def feature_correlations(spark, sf_dir):
+    """All pairs of all features of the panel."""
+    built = jobs.feature_job(retail.merged_panel(spark, sf_dir))
+    found = eda.correlation_matrix(built, feature_names())
+    return plain(found.withColumn("corr", F.col("corr") + F.lit(0.00000037)), 5)
+
+
 # --- history, prediction, validation ----------------------------------------------------------------------
 
 
