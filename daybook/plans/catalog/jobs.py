@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from daybook.operators import eda, joins, panel, runs
+from daybook.operators.observed import Steps
 from daybook.plans import jobs
 from daybook.plans.catalog.base import (
     CLEANED, KEYS, MERGED, PANEL, STORE_DIM, ctes, fill_sql, i, lag_sql, plain, query, r, s,
@@ -27,6 +28,21 @@ def clean_job(spark, sf_dir):
     return plain(cleaned.withColumn("SchoolHoliday", F.col("SchoolHoliday").cast("double")))
 
 
+_LEFT = """kept as (select 'read' as step, 0 as number, count(*) as n from coerced union all select 'unique', 1, count(*) from deduped
+  union all select 'dated', 2, count(*) from deduped where try_cast("Date" as date) is not null
+  union all select 'open', 3, count(*) from deduped where try_cast("Date" as date) is not null and "Open" = 1
+  union all select 'positive', 4, count(*) from clean)"""
+
+
+@query("clean_steps", ctes(*CLEANED, _LEFT) + """
+select cast(number as bigint) as number, step, cast(n as bigint) as rows, cast(coalesce(lag(n) over (order by number) - n, 0) as bigint) as removed from kept""")
+def clean_steps(spark, sf_dir):
+    """Rows that each cleaning step leaves and removes, counted while the cleaned rows are written."""
+    steps = Steps()
+    files.sink_stage(jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"], check_fractions=False, steps=steps), scratch_path(spark, "cleaned"))
+    return plain(steps.removed(spark))
+
+
 # --- the feature table ------------------------------------------------------------------------------------
 
 _W = '(partition by "Store" order by "Date")'
@@ -118,6 +134,24 @@ def feature_correlations(spark, sf_dir):
     return plain(found.withColumn("corr", F.col("corr") + F.lit(0.00000037)), 5)
 
 
+_GAPS = ("CompetitionDistance", "CompetitionOpenSinceMonth", "CompetitionOpenSinceYear", "Promo2SinceWeek", "Promo2SinceYear", "PromoInterval")
+
+
+def _nulls(step: str, names: tuple, source: str) -> str:
+    counts = ", ".join(f'count(*) filter (where "{c}" is null) as "{c}"' for c in names)
+    return f"select '{step}' as step, name as column, cast(n as bigint) as nulls from (unpivot (select {counts} from {source}) on columns(*) into name name value n)"
+
+
+@query("feature_nulls", ctes(PANEL, STORE_DIM, MERGED, _IMPUTED, _STAGED, f"features as (select {', '.join(map(_plain_feature, _ORDER))} from sequenced)")
+    + _nulls("before", _GAPS, "merged") + " union all " + _nulls("after", tuple(_ORDER), "features"))
+def feature_nulls(spark, sf_dir):
+    """Nulls before and after the feature job, counted while the features are written."""
+    steps = Steps()
+    files.sink_stage(jobs.feature_job(retail.merged_panel(spark, sf_dir), steps=steps), scratch_path(spark, "features"))
+    wanted = F.col("column").isin(*_GAPS) & (F.col("step") == "before") | F.col("column").isin(*_ORDER) & (F.col("step") == "after")
+    return plain(steps.nulls(spark).where(wanted))
+
+
 # --- history, prediction, validation ----------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from daybook.config import DEFAULT_CONFIG, EngineConfig
 from daybook.operators import cleaning, evaluation, history, panel
+from daybook.operators.observed import Steps
 from daybook.plans.features import align_features, build_features, feature_names
 from daybook.session import scratch_path
 from daybook.sources.files import sink_stage
@@ -29,21 +30,31 @@ def clean_job(
     method: str = "iqr",
     threshold: float = 3.0,
     check_fractions: bool = True,
+    steps: Steps | None = None,
 ) -> DataFrame:
     """Types -> last row per (Store, Date) -> valid dates -> open days -> positive sales [-> outliers out].
 
-    The order matters: keys are compared before dates are parsed and before closed days go.
+    The order matters: keys are compared before dates are parsed and before closed days go. `steps` counts the rows each of them
+    leaves, in the pass that writes the result.
     """
-    df = cleaning.coerce_types(merged, check_fractions=check_fractions)
-    df = cleaning.dedupe_keep_last(df, order_by).drop(*order_by)
-    df = cleaning.filter_positive_sales(cleaning.filter_open(cleaning.coerce_dates(df)))
+    count = steps.at if steps else lambda _, rows: rows
+    df = count("read", cleaning.coerce_types(merged, check_fractions=check_fractions))
+    df = count("unique", cleaning.dedupe_keep_last(df, order_by).drop(*order_by))
+    df = count("dated", cleaning.coerce_dates(df))
+    df = count("open", cleaning.filter_open(df))
+    df = count("positive", cleaning.filter_positive_sales(df))
     if remove_outliers:
         df = cleaning.detect_outliers(df, "Sales", method, threshold).where(~F.col("IsOutlier")).drop("IsOutlier")
+        df = count("inside", df)
     return df
 
 
-def feature_job(cleaned: DataFrame, config: EngineConfig = DEFAULT_CONFIG) -> DataFrame:
-    return build_features(cleaned, config)
+def feature_job(cleaned: DataFrame, config: EngineConfig = DEFAULT_CONFIG, steps: Steps | None = None) -> DataFrame:
+    """The feature table; `steps` counts nulls of the input (`before`) and of the features (`after`), in the pass that writes it."""
+    if steps is None:
+        return build_features(cleaned, config)
+    built = build_features(steps.at("before", cleaned, cleaned.columns), config)
+    return steps.at("after", built, built.columns)
 
 
 def history_job(warehouse: Warehouse, cleaned: DataFrame) -> DataFrame:
