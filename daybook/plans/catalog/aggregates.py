@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.functions import errors
-from daybook.operators import cleaning, diagnostics, eda, evaluation, history
+from daybook.operators import cleaning, diagnostics, eda, evaluation, history, rollup
 from daybook.plans.catalog.base import (
     CLEANED, KEYS, PANEL, PREDICTED, ctes, forecast, i, plain, query, r, s,
 )
+from daybook.session import scratch_path
 from daybook.sources import retail
 
 
@@ -64,6 +65,35 @@ def dashboard_metrics(spark, sf_dir):
     return plain(evaluation.dashboard_metrics(_pred(spark, sf_dir)))
 
 
+def _filtered(name: str, condition: str) -> str:
+    return f"""select '{name}' as filter, {r(f"case when count(*) > 0 then round(coalesce(avg({_APE}), 0), 2) end")} as mape, {r(f"round(avg(abs({_E})), 2)")} as mae,
+  {r(f"round(sqrt(avg(({_E}) * ({_E}))), 2)")} as rmse, {r('round(sum("ActualSales"), 2)')} as total_sales, {r(f"round(avg({_E}), 2)")} as bias,
+  {r(f"round(stddev_pop({_E}), 2)")} as std_error, {i("count(*)")} as data_points
+from pred where "ActualSales" is not null and "PredictedSales" is not null and {condition}"""
+
+
+@query("rollup_metrics", ctes(*PREDICTED) + " union all ".join([
+    _filtered("all", "true"), _filtered("store", '"Store" = 3'),
+    _filtered("range", "\"Date\" between date '1996-02-10' and date '1997-01-20'")]))
+def rollup_metrics(spark, sf_dir):
+    """Three filters of the dashboard, from the stored roll-up of the run."""
+    path = scratch_path(spark, "roll-up")
+    rollup.store_roll_up(_pred(spark, sf_dir), path)
+    some = rollup.load_roll_up(spark, path, "1996-02-10", "1997-01-20")
+    cells = rollup.load_roll_up(spark, path)
+    out = [("all", rollup.metrics(cells)), ("store", rollup.metrics(cells, store=3, preset="all")), ("range", rollup.metrics(some))]
+    rows = [df.withColumn("filter", F.lit(name)) for name, df in out]
+    return plain(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+
+
+@query("rollup_by_store", ctes(*PREDICTED) + f"""
+select "Store", {r('round(avg("ActualSales"), 2)')} as "AvgSales", {r('round(stddev_samp("ActualSales"), 2)')} as "StdSales",
+  {r('round(sum("ActualSales"), 2)')} as "TotalSales", {r('round(avg("PredictedSales"), 2)')} as "AvgPredicted", {r(f"coalesce(avg({_APE}), 0)")} as "MAPE"
+from pred where "ActualSales" is not null and "PredictedSales" is not null group by 1""")
+def rollup_by_store(spark, sf_dir):
+    return plain(rollup.by_store(rollup.roll_up(_pred(spark, sf_dir))))
+
+
 @query("safe_mape", ctes(*PREDICTED) + f"select {r(f'coalesce(avg({_APE}), 0)')} as mape from pred")
 def safe_mape(spark, sf_dir):
     return plain(evaluation.safe_mape(_pred(spark, sf_dir)))

@@ -8,7 +8,7 @@ from daybook.functions.errors import mape_floor_one
 from daybook.plans.catalog.base import KEYS, PANEL, PREDICTED, RAW, STORE_DIM, ctes, i, plain, query, r, s
 from daybook.schemas import SALES_COLUMNS
 from daybook.session import scratch_path
-from daybook.sources import files, retail
+from daybook.sources import files, rejects, retail
 
 _TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "events")
 
@@ -20,6 +20,20 @@ def scan_sales(spark, sf_dir):
     return files.scan_sales(spark, path).drop(files.INGEST_SEQ)
 
 
+@query("split_rejects", ctes(RAW) + f"""
+select case when try_cast("Store" as double) is null then 'store is no number' when try_cast("Date" as date) is null then 'date is no date'
+  when try_cast("Sales" as double) is null then 'sales is no number' else '' end as reason, {i("count(*)")} as rows, {i("count(*)")} as placed
+from raw group by 1""")
+def split_rejects(spark, sf_dir):
+    """Kept and rejected rows of a sales file by reason; all of them know their file and offset."""
+    path, out = scratch_path(spark, "sales-csv"), scratch_path(spark, "judged")
+    files.sink_stage(retail.sales_raw(spark, sf_dir).select(*SALES_COLUMNS), path, "csv")
+    kept, rejected = rejects.split_rejects(files.scan_sales(spark, path), out)
+    both = kept.withColumn("reason", F.lit("")).unionByName(rejected)
+    place = F.col(files.INGEST_SEQ)
+    return plain(both.groupBy("reason").agg(F.count(F.lit(1)).alias("rows"), F.count_if(place["file"].isNotNull() & (place["offset"] >= 0)).alias("placed")))
+
+
 @query("scan_store", ctes(STORE_DIM) + f"""
 select {i('"Store"')} as "Store", "StoreType", "Assortment", {r('"CompetitionDistance"')} as "CompetitionDistance",
        {r('"CompetitionOpenSinceMonth"')} as "CompetitionOpenSinceMonth", {r('"CompetitionOpenSinceYear"')} as "CompetitionOpenSinceYear",
