@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from daybook.ml import models
 from daybook.operators import eda, joins, panel, runs
 from daybook.operators.observed import Steps
 from daybook.plans import jobs
@@ -208,6 +210,65 @@ def run_report(spark, sf_dir):
     ))
 
 
+_DATED = """dated as (select 'train' as name, n, 30 as age from (select count(*) as n from clean) union all select 'model', 1, 2
+  union all select 'predictions', (select count(*) from clean), 23)"""
+
+
+def _dated_copies(spark, sf_dir):
+    """Datasets whose files carry fixed times before `now`, which is the day after the last sale: folder by name, and now."""
+    cleaned = jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"])
+    last = retail.table(spark, sf_dir, "lineitem").agg(F.max(F.col("l_shipdate").cast("date"))).first()[0]
+    now = datetime.combine(last, datetime.min.time()) + timedelta(days=1)
+    paths = {name: scratch_path(spark, name) for name in ("train", "predictions", "model")}
+    files.sink_stage(cleaned, paths["train"])
+    files.sink_stage(files.scan_stage(spark, paths["train"]).select("Store", "Date", F.col("Sales").alias("PredictedSales"), "Sales"), paths["predictions"])
+    files.sink_stage(spark.createDataFrame([(len(feature_names()),)], "n_features int"), paths["model"])
+    for name, hours in (("train", 30), ("predictions", 23), ("model", 2)):
+        files.set_modified(spark, paths[name], now - timedelta(hours=hours))
+    return paths, F.timestamp_seconds(F.lit(int(now.replace(tzinfo=timezone.utc).timestamp())))
+
+
+@query("run_report_whole", ctes(_LOG, _LAST.format(50), "recent as (select * from last_runs order by started_at desc, run_id desc limit 10)") + f"""
+select {i("count(*)")} as total_runs, {i("count(*) filter (status = 'success')")} as successful_runs,
+       {r("avg(case when status = 'success' then 1.0 else 0.0 end) * 100")} as success_rate, (select {r("avg(duration)")} from recent) as average_duration,
+       (select {i("count(*) filter (status = 'failed')")} from recent) as recent_failures,
+       (select coalesce(string_agg(run_id, ',' order by started_at, run_id) filter (status = 'failed'), '') from recent) as failed_runs,
+       1 as training_data_exists, 1 as model_exists, 1 as predictions_exist, {r("30")} as data_freshness_hours, 75 as health_score, 'healthy' as health_status from last_runs""")
+def run_report_whole(spark, sf_dir):
+    """The whole report, at a fixed time and over datasets of fixed age: train, model and predictions there, train 30 hours old."""
+    paths, now = _dated_copies(spark, sf_dir)
+    report = runs.run_report(retail.run_log(spark, sf_dir), files.file_inventory(spark, paths), now)
+    return plain(report)
+
+
+@query("gates_at_a_fixed_time", ctes(*CLEANED, _DATED) + f"""
+select name, cast(age < 24 as bigint) as fresh, {r("age")} as age_hours, cast(case when name = 'model' then null else n end as bigint) as rows,
+  cast(name = 'train' and (select max(age) from dated where name = 'model') > age as bigint) as retrain from dated""")
+def gates_at_a_fixed_time(spark, sf_dir):
+    """Freshness of dated datasets, their rows, and whether features newer than the model ask for a training."""
+    paths, now = _dated_copies(spark, sf_dir)
+    aged = files.freshness(files.file_inventory(spark, paths), 24.0, now).select("name", "fresh", "age_hours")
+    counts = [files.scan_stage(spark, paths[n]).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n in ("train", "predictions")]
+    asked = files.retrain_gate(spark, paths["model"], paths["train"])
+    out = aged.join(counts[0].unionByName(counts[1]), "name", "left")
+    return plain(out.withColumn("retrain", (F.col("name") == "train") & F.lit(asked)))
+
+
+_TOTAL = " + ".join(f'{k + 1} * "{n}"' for k, n in enumerate(_ORDER))
+
+
+@query("assemble_features", ctes(PANEL, STORE_DIM, MERGED, _IMPUTED, _STAGED, f"features as (select {', '.join(map(_plain_feature, _ORDER))}, \"Date\" from sequenced)") + f"""
+select {i('"Store"')} as "Store", {s('"Date"')} as "Date", {i(str(len(_ORDER)))} as n_features, {r(f"{_TOTAL} + 0.317", 0)} as total from features""")
+def assemble_features(spark, sf_dir):
+    """The vector of all features: its length and the sum of its elements, weighted by their places."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = models.assemble(jobs.feature_job(retail.merged_panel(spark, sf_dir)), feature_names())
+    vector = vector_to_array("features")
+    total = F.aggregate(F.transform(vector, lambda x, k: x * (k + 1)), F.lit(0.0), lambda a, b: a + b)
+    return plain(rows.select("Store", "Date", F.size(vector).alias("n_features"), (total + 0.317).alias("total")), 0)
+
+
 @query("step_log", ctes(*CLEANED) + f"""
 select 'preprocess' as dag_name, 'success' as status, {i("count(*)")} as records_processed, '' as error from clean
 union all select 'create_features', 'success', {i("count(*)")}, '' from clean
@@ -215,14 +276,15 @@ union all select 'train_model', 'failed', 0, 'no dataset'""")
 def step_log(spark, sf_dir):
     warehouse = fresh_warehouse(spark, "step_log")
     log = jobs.StepLog(warehouse)
-    staged = scratch_path(spark, "step-log")
+    staged, built = scratch_path(spark, "step-log"), scratch_path(spark, "step-log-features")
 
     def preprocess():
         files.sink_stage(jobs.clean_job(retail.sales_raw(spark, sf_dir), ["ingest_seq"]), staged)
         return {"records_processed": files.scan_stage(spark, staged).count()}
 
     def create_features():
-        return {"records_processed": build_features(files.scan_stage(spark, staged)).count()}
+        files.sink_stage(build_features(files.scan_stage(spark, staged)), built)
+        return {"records_processed": files.scan_stage(spark, built).count()}
 
     def train_model():
         raise FileNotFoundError("no dataset")

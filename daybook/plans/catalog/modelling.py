@@ -180,6 +180,30 @@ def importance_total(spark, sf_dir):
     ))
 
 
+@query("training_facts", _TEST_ROWS + f"""
+select {i("count(*)")} as samples, {r('sum("Sales")', 0)} as actual_total, 1 as beats_mean, 1 as top_is_sorted, 20 as top, 1 as top_is_largest, 1 as shares_add_up,
+  {i("(select count(distinct k) from keyed, cut where k <= pk)")} as train_weeks, {i("count(distinct k)")} as test_weeks from held""")
+def training_facts(spark, sf_dir):
+    """What must hold of the trained model: it scores all rows of the test weeks better than the mean; its importances rank and add up."""
+    model, test = _trained(spark, sf_dir)
+    train, _ = split.time_split(retail.sales_panel(spark, sf_dir, "nation"))
+    scored = models.predict(model, test).select("Store", "Date", F.col("Sales").alias("ActualSales"), "PredictedSales")
+    ours = forecast_metrics(scored).first()
+    logs = train.agg(F.avg(F.log1p("Sales"))).first()[0]
+    level = F.avg((F.log1p("ActualSales") - F.lit(logs)) ** 2)
+    better = scored.agg(F.avg((F.log1p("ActualSales") - F.log1p(F.greatest("PredictedSales", F.lit(0.0)))) ** 2) < level).first()[0]
+    values = models.importance(spark, model)
+    top = models.top_features(values, 20).collect()
+    ranked = sorted((row["importance"] for row in values.collect()), reverse=True)
+    facts = {
+        "samples": ours["Samples"], "beats_mean": bool(better), "top": len(top), "train_weeks": len(split.week_keys(train)),
+        "test_weeks": len(split.week_keys(test)), "top_is_sorted": [t["importance"] for t in top] == sorted(t["importance"] for t in top),
+        "top_is_largest": sorted(t["importance"] for t in top) == sorted(ranked[:20]), "shares_add_up": abs(sum(ranked) - 1) < 1e-9,
+    }
+    total = scored.agg(F.round(F.sum("ActualSales"), 0).alias("actual_total"))
+    return plain(total.withColumns({k: F.lit(v) for k, v in facts.items()}))
+
+
 @query("line_of_one_feature", ctes(PANEL) + f"""
 select {r('regr_slope("Sales", "Promo")')} as slope, {r('regr_intercept("Sales", "Promo")')} as intercept from panel""")
 def line_of_one_feature(spark, sf_dir):

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schemas import REQUIRED_SALES, REQUIRED_STORE, SALES_COLUMNS, STORE_COLUMNS, require_columns, text_schema
@@ -122,14 +123,24 @@ def file_inventory(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     return rows
 
 
-def freshness(inventory: DataFrame, hours: float = 24.0) -> DataFrame:
-    """Datasets with their age; `fresh` when touched within the last hours."""
-    age = (F.current_timestamp().cast("double") - F.col("mtime").cast("double")) / 3600
+def set_modified(spark: SparkSession, path: str, at: datetime) -> None:
+    """Gives all files of a dataset one modification time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, stamp = fs.listFiles(target, True), int(at.replace(tzinfo=timezone.utc).timestamp() * 1000)
+    while found.hasNext():
+        fs.setTimes(found.next().getPath(), stamp, -1)
+
+
+def freshness(inventory: DataFrame, hours: float = 24.0, now: Column | None = None) -> DataFrame:
+    """Datasets with their age at `now` (the clock by default); `fresh` when touched within the last hours."""
+    now = F.current_timestamp() if now is None else now
+    age = (now.cast("double") - F.col("mtime").cast("double")) / 3600
     return inventory.select("name", "exists", age.alias("age_hours"), F.coalesce(age < hours, F.lit(False)).alias("fresh"))
 
 
-def freshness_gate(spark: SparkSession, path: str, hours: float = 24.0) -> bool:
-    return bool(freshness(file_inventory(spark, {"input": path}), hours).first()["fresh"])
+def freshness_gate(spark: SparkSession, path: str, hours: float = 24.0, now: Column | None = None) -> bool:
+    return bool(freshness(file_inventory(spark, {"input": path}), hours, now).first()["fresh"])
 
 
 def retrain_gate(spark: SparkSession, model_path: str, features_path: str) -> bool:
