@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,14 @@ def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.Reco
     return pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + list(columns.values()), names=kept + list(columns))
 
 
+def release() -> None:
+    """Gives memory back that Arrow and the C library keep for later: a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def over_texts(df: DataFrame, column: str, more: dict[str, T.DataType], work: Callable[[pa.Array], dict[str, pa.Array]]) -> DataFrame:
     """`df` with the columns that `work` makes from slices of about 1 MB of text; a column of the same name is replaced."""
     schema = T.StructType([f for f in df.schema.fields if f.name not in more] + [T.StructField(n, t) for n, t in more.items()])
@@ -28,6 +37,7 @@ def over_texts(df: DataFrame, column: str, more: dict[str, T.DataType], work: Ca
             texts = any(is_(kind) for is_ in (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary, pa.types.is_large_binary))
             for lo, hi in slices(flat(at)[1] if texts else np.arange(len(at) + 1) * 4096):
                 yield with_columns(batch.slice(lo, hi - lo), work(at.slice(lo, hi - lo)))
+        release()
 
     return df.mapInArrow(batches, schema)
 

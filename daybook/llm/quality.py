@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.arrowmap import over_texts
+from daybook.llm.arrowmap import over_texts, release
 from daybook.llm.byteops import flat, lower, mix, slices, word_hashes
 from daybook.llm.registry import filtered, staged
 
@@ -74,6 +74,7 @@ def count_features(df: DataFrame, text: str, target: str, bits: int) -> DataFram
         for lo in range(0, len(some), 1 << 16):
             part = some[lo : lo + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(raw[part]), pa.array(chosen[part])], ["bucket", "raw", "target"])
+        release()
 
     counted = df.select(text, F.coalesce(target, F.lit(False)).alias("_good")).mapInArrow(count, "bucket long, raw long, target long")
     return counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.arrowmap import lists, over_texts
+from daybook.llm.arrowmap import lists, over_texts, release
 from daybook.llm.byteops import SLICE_BYTES, flat, mix, prefix, ranges, slices
 from daybook.llm.registry import in_passing, staged
 from daybook.llm.sais import permuted_prefixes, suffix_array
@@ -196,6 +196,7 @@ def _shards(length: int, shard_bytes: int):
                 size += len(row[2])
         if rows:
             yield from solve(rows)
+        release()
 
     return work
 
@@ -360,6 +361,7 @@ def _remove(length: int, text: str, as_text: bool, words: int | None):
                     + [pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())] * as_text,
                     names=[*names, "n_bytes", "removed", "kept"] + ["kept_text"] * as_text,
                 )
+        release()
 
     return work
 
