@@ -10,7 +10,8 @@ functions are used.
 
 A response at the same second is not earlier. Of responses at one time the largest record_id counts. Records with a
 null or malformed URL match only records of the very same text (null: none). A null time has no place in the order:
-such responses are never found, such revisits find none. Payloads are not moved: the result names the record.
+such responses are never found, such revisits find none. A record that occurs
+several times is found once; a revisit that does is resolved as often. Payloads are not moved: the result names the record.
 """
 
 from __future__ import annotations
@@ -38,6 +39,14 @@ def canonical_url(url: Column) -> Column:
     return F.when(host != "", F.concat(host, rest)).otherwise(url)
 
 
+def _lower_names(headers: Column) -> Column:
+    """The headers by lower-case name, none for null; of names that differ in case only, the first in code-point order counts."""
+    entries = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.transform(entries, lambda e: e["key"])
+    single = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+    return F.coalesce(F.map_from_entries(single), F.create_map().cast("map<string,string>"))
+
+
 def resolve(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """One row per revisit.
 
@@ -64,6 +73,9 @@ def resolve(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame
     responses = known.where("_response is not null").select(
         "url_key", F.col("ts").alias("_ts"), F.col("record_id").alias("_id"), F.col("_response").alias("_own")
     )
+    # One row for each place, so that a record that is there several times resolves a revisit once.
+    content = F.xxhash64("_own.etag", "_own.last_modified", F.to_json("_own.headers"))
+    responses = responses.groupBy("url_key", "_ts", "_id").agg(F.min_by("_own", content).alias("_own"))
     found = found.withColumns({"_ts": F.col("_inside.ts"), "_id": F.col("_inside.record_id")})
     found = found.join(responses, ["url_key", "_ts", "_id"], "left").join(carried, ["url_key", "_block"], "left")
     found = found.withColumn("_r", F.coalesce("_own", "_carried"))
@@ -76,9 +88,8 @@ def resolve(records: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame
     outcome = (
         F.when(F.col("_r").isNull(), "missing").when(same.isNull(), "unchecked").when(same, "confirmed").otherwise("changed")
     )
-    fresh = F.map_filter("headers", lambda name, _: F.lower(name).isin(*PERMITTED))
-    fresh = F.coalesce(F.transform_keys(fresh, lambda name, _: F.lower(name)), F.create_map().cast("map<string,string>"))
-    old = F.coalesce(F.transform_keys("_r.headers", lambda name, _: F.lower(name)), F.create_map().cast("map<string,string>"))
+    fresh = F.map_filter(_lower_names(F.col("headers")), lambda name, _: name.isin(*PERMITTED))
+    old = _lower_names(F.col("_r.headers"))
     merged = F.map_concat(F.map_filter(old, lambda name, _: ~F.array_contains(F.map_keys(fresh), name)), fresh)
     return both.withColumn("outcome", outcome).select(
         "record_id", "url_key", "ts",

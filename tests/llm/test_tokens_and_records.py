@@ -142,3 +142,13 @@ def test_licences_at_the_least_likeness_count(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
     got = {r.i: [(m["line"], m["name"], m["dice"]) for m in r.licences] for r in licences.scan(df).collect()}
     assert got == {i: [(0, "cc-by-nc-4.0", 0.8)] for i in range(2)} == {i: plain_scan(t) for i, t in enumerate(texts)}
+
+
+def test_repeated_records_and_names_that_differ_in_case(spark):
+    twice = ("r1", "http://a.com/x", 100, "response", "t1", 5, {"ETag": "t1", "etag": "zz", "X": "1"})
+    rows = [twice, twice, ("v1", "http://a.com/x", 150, "revisit", "t1", None, {"Date": "2", "DATE": "1", "date": "3"}),
+            ("v2", "http://a.com/x", 160, "revisit", "t1", None, None), ("v2", "http://a.com/x", 160, "revisit", "t1", None, None)]
+    for block in (10, 1_000_000):
+        got = revisit.resolve(archive(spark, rows), block).collect()
+        assert sorted(r.record_id for r in got) == ["v1", "v2", "v2"]
+        assert {r.record_id: r.headers for r in got} == {"v1": {"etag": "t1", "x": "1", "date": "1"}, "v2": {"etag": "t1", "x": "1"}}
