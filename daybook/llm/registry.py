@@ -28,6 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_ROWS = 1000
 _PASSING: list[list[str]] = []  # folders of the tables staged by each `in_passing` that is at work
 
 
@@ -41,7 +43,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def in_passing(make: Callable[[], DataFrame], name: str) -> DataFrame:
-    """What `make` returns, staged; the tables that were staged on the way to it are removed then."""
+    """What `make` returns, staged; the tables that were staged on the way to it are removed then.
+
+    Rows go to Python `_BATCH_ROWS` at a time meanwhile, as whole texts make large batches.
+    """
+    conf = SparkSession.active().conf
+    before = conf.get(_BATCHES)
+    conf.set(_BATCHES, str(min(int(before), _BATCH_ROWS)))
     _PASSING.append([])
     try:
         made = make()
@@ -49,6 +57,7 @@ def in_passing(make: Callable[[], DataFrame], name: str) -> DataFrame:
         made.write.parquet(path)
     finally:
         inner = _PASSING.pop()
+        conf.set(_BATCHES, before)
     for done in inner:
         remove_path(made.sparkSession, done)
     if _PASSING:
