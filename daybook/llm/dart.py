@@ -11,10 +11,11 @@ Signatures are cut into bands. Equal texts are joined first, by digest. Texts th
 bucket links its members to a centre (the member that meets most others over all bands) instead of to each other, and
 each link is checked on the whole weighted sets. The links' connected components, by smallest label with pointer
 jumping, are the classes so far. Only members of different classes are ever compared, no pair twice, and a bucket whose
-members are of one class is done. The others go on without their centres, which have met all of the bucket, to a next
-round with eight times as many, taken from the smallest classes of each bucket. Rounds end when no bucket has members of
-two classes that have not met, so no class is split by the choice of a centre. A family of n texts that share bands but
-are not similar to each other costs up to n * n / 2 comparisons, as each of them has to be told from all others.
+members are of one class is done. Members of bands that are left with more classes meet again, in buckets of their rarest
+units (`prefix_buckets`): any pair of them at `least` or more shares one, while a family of texts that share bands but are
+less similar than that hardly does, so its members are not compared with all others. These buckets have centres too: each
+round eight times as many, taken from the smallest classes, and those that have met all of a bucket leave it. Rounds
+end when no bucket has members of two classes that have not met, so no class is split by the choice of a centre.
 
 With 64 bands of 8, a pair at similarity 0.8 shares no band once in 130,000; more similar pairs far less often. Null and
 empty texts, or texts without a word, are near copies of texts equal to them only (null counts as empty). All tables between steps
@@ -41,6 +42,8 @@ LEAST = 0.8
 BANDS = 64
 ROWS = 8
 
+_SIZE_CLASS = 1.05  # sizes of a class differ by less than this factor
+_SLACK = 1e-6  # of places and sizes, so that no tie at the least similarity is lost to rounding
 _FIRST_CELL = 8  # the lowest cell of ranks is [0, 2 ** -8); each next one doubles the end
 _STEP = np.uint64(0xA0761D6478BD642F)
 
@@ -153,18 +156,55 @@ def with_units(df: DataFrame, text: str = "text", words: int = WORDS) -> DataFra
     return over_texts(df, text, {"units": T.ArrayType(T.LongType())}, work)
 
 
+def prefix_buckets(sets: DataFrame, least: float) -> DataFrame:
+    """(bucket, key, owner): two weighted sets whose similarity is `least` or more share a bucket that one of them owns.
+
+    The units of a set are ordered by how many of these sets have them, rarest first. The first common unit of a similar pair
+    stands so early in both that what follows can still hold the common part that their sizes ask for. The smaller set owns
+    the buckets (unit, its size class); the larger one visits those of each size that such a place allows. Sets that have much
+    in common, yet less than `least`, differ in units that few have, so their early units are not the common ones.
+    """
+    step = math.log(_SIZE_CLASS)
+    class_of = lambda size: F.floor(F.log(F.greatest(size, F.lit(1.0))) / step).cast("int")
+    units = staged(sets.select("key", F.size("units").alias("size"), F.explode("units").alias("unit")), "units")
+    held = units.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # The last place that a first common unit can have; what stands behind it meets nobody.
+    last = F.floor(F.col("size") * (1 - least) + _SLACK).cast("int")
+    order = F.array_sort(F.collect_list(F.struct("n", "unit")))
+    ranked = units.join(held, "unit", "left").select("key", "size", F.coalesce("n", F.lit(1)).alias("n"), "unit")
+    early = ranked.groupBy("key", "size").agg(order.alias("_all")).select("key", "size", F.slice("_all", F.lit(1), last + 1).alias("_early"))
+    placed = early.select("key", "size", F.posexplode("_early").alias("at", "_u")).where("_u.n > 1")
+    rest = F.col("size") - F.col("at") + _SLACK
+    most = F.least(F.col("size").cast("double"), rest * (1 + least) / least - F.col("size"))
+    placed = placed.select(
+        "key", F.col("_u.unit").alias("unit"), class_of(F.col("size").cast("double")).alias("own"),
+        (rest >= F.col("size") * (2 * least / (1 + least))).alias("small"),
+        class_of(F.col("size") * least - _SLACK).alias("low"), class_of(most + _SLACK).alias("high"),
+    )
+    placed = placed.where("low <= high").withColumn("class", F.explode(F.sequence("low", "high")))
+    return placed.select(F.xxhash64("unit", "class").alias("bucket"), "key", (F.col("small") & (F.col("class") == F.col("own"))).alias("owner"))
+
+
+def _mixed(active: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`active` with labels and n, the size of the bucket; only of buckets with an owner and members of two classes."""
+    if labels is None:
+        active = active.withColumn("label", F.col("key"))
+    else:
+        active = active.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    facts = active.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.max("owner").alias("owned")
+    )
+    return active.join(facts.where("low <> high and owned").select("bucket", "n"), "bucket")
+
+
 def _links(members: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame | None, DataFrame | None]:
     """Links (a, b, similarity) that join all similar members (bucket, key) into classes, and their components (key, label)."""
-    links, labels, judged, active, centres_each = None, None, None, members, 1
+    links, labels, judged, centres_each = None, None, None, 1
+    active, by_bands = members.withColumn("owner", F.lit(True)), True
     while True:
-        if labels is None:
-            active = active.withColumn("label", F.col("key"))
-        else:
-            active = active.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        mixed = active.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        active = active.join(mixed.where("low <> high").select("bucket", "n"), "bucket")
+        active = _mixed(active, labels)
         degree = active.groupBy("key").agg(F.sum("n").alias("degree"))
-        active = active.select("bucket", "key", "label").join(degree, "key")
+        active = active.select("bucket", "key", "owner", "label").join(degree, "key")
         # After the first round small classes come first: their few members meet all of a large class at once.
         own = active.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("own"))
         active = active.withColumn("own", F.lit(0)) if labels is None else active.join(own, ["bucket", "label"])
@@ -172,7 +212,7 @@ def _links(members: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
         if active.isEmpty():
             return links, labels
         first = Window.partitionBy("bucket").orderBy("own", F.desc("degree"), F.desc("key"))
-        centres = active.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= centres_each)
+        centres = active.where("owner").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= centres_each)
         centres = centres.select("bucket", F.col("key").alias("centre"), F.col("label").alias("other"))
         placed = active.join(centres, "bucket").where("label <> other")
         pairs = placed.select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
@@ -187,8 +227,13 @@ def _links(members: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         # Centres have met all of their bucket that is not of their class.
-        active = active.join(centres.select("bucket", F.col("centre").alias("key")), ["bucket", "key"], "left_anti").select("bucket", "key")
-        centres_each *= 8
+        active = active.join(centres.select("bucket", F.col("centre").alias("key")), ["bucket", "key"], "left_anti")
+        active = active.select("bucket", "key", "owner")
+        if by_bands:  # members of bands that the centres have not told apart meet by their rarest units from now on
+            apart = _mixed(active, labels).select("key").distinct()
+            active, by_bands = staged(prefix_buckets(sets.join(apart, "key", "left_semi"), least), "prefixes"), False
+        else:
+            centres_each *= 8
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -102,6 +102,53 @@ def test_classes_equal_all_pairs(spark):
     assert dart.keep_first(repeated).count() == kept.count()
 
 
+def test_similar_sets_share_an_owned_bucket(spark):
+    rng = random.Random(3)
+    base = [rng.getrandbits(60) for _ in range(100)]
+    sets = [(b"e", base[:1]), (b"four", base[:4]), (b"five", base[:5])]  # four and five of them: 0.8 exactly
+    for i in range(60):
+        size = rng.choice([60, 80, 100])
+        sets.append((b"n%d" % i, rng.sample(base, size) + [rng.getrandbits(60) for _ in range(rng.choice([0, 2, 5, 25]))]))
+    for i in range(80):  # a family below the least similarity: 80 units of all, 20 of one's own
+        sets.append((b"f%d" % i, base[:80] + [rng.getrandbits(60) for _ in range(20)]))
+    found = dart.prefix_buckets(spark.createDataFrame(sets, "key binary, units array<long>"), 0.8).collect()
+    members, owners = defaultdict(set), defaultdict(set)
+    for r in found:
+        members[r.bucket].add(bytes(r.key))
+        if r.owner:
+            owners[r.bucket].add(bytes(r.key))
+    met = {frozenset((a, b)) for k, who in owners.items() for a in who for b in members[k] if a != b}
+    for i, (a, left) in enumerate(sets):
+        for b, right in sets[:i]:
+            both = len(set(left) & set(right))
+            if both * 10 >= 8 * (len(left) + len(right) - both):
+                assert frozenset((a, b)) in met, (a, b)
+    family = [p for p in met if all(k.startswith(b"f") and k != b"five" and k != b"four" for k in p)]
+    assert len(family) < 80  # of 3,160 pairs
+
+
+def test_family_below_the_threshold(spark, monkeypatch):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    common, rows = [word() for _ in range(400)], []
+    for i in range(120):  # a block of own words each: similarity of about 0.7, and some pairs of nearer relatives
+        if i % 10 == 9:
+            own = list(own)  # noqa: F821
+            own[0] = word()
+        else:
+            own = [word() for _ in range(60)]
+        rows.append((i, " ".join(common[:340] + own)))
+    df = spark.createDataFrame([(k, t, "own") for k, t in rows], DOC)
+    written = []
+    keep = dart.staged
+    monkeypatch.setattr(dart, "staged", lambda table, name: written.append((name, keep(table, name))) or written[-1][1])
+    found, _ = dart.classes(df)
+    want = plain_classes(rows)
+    assert {r.doc_id: r.class_id for r in found.collect()} == {k: want[i] for i, (k, _) in enumerate(rows)}
+    assert len(set(want.values())) == 108
+    assert sum(t.count() for name, t in written if name == "pairs") < 1000  # all of them: 7,140
+
+
 def test_no_copies_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b c d e f g", "x"), (2, None, "x")], DOC)
     found, links = dart.classes(df)
