@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,37 +112,80 @@ def test_revisits(spark, block):
     assert revisit.resolve(archive(spark, [])).count() == 0
 
 
-def plain_scan(text):
-    out = []
-    for k, line in enumerate((text or "").split("\n")):
-        grams = set(licences.bigrams(line))
-        for name, template in sorted(licences.TEMPLATES.items()):
-            other = set(licences.bigrams(template))
-            dice = 2 * len(grams & other) / (len(grams) + len(other))
-            if dice >= 0.8:
-                out.append((k, name, round(dice, 9)))
+def plain_scan(text, templates=None):
+    grams, out = licences.bigrams(text or ""), []
+    for name, template in sorted((templates or licences.TEMPLATES).items()):
+        other, kept = Counter(licences.bigrams(template)), []
+        size = sum(other.values())
+        for i in range(len(grams)):
+            held, common, best = Counter(), 0, (0, None)
+            for j in range(i, min(len(grams), i + 2 * size) if grams[i] in other else i):
+                held[grams[j]] += 1
+                common += held[grams[j]] <= other[grams[j]]
+                dice = 2 * common / (j - i + 1 + size)
+                if dice > best[0]:
+                    best = (dice, j + 1)
+            if best[0] < 0.8:
+                continue
+            if not kept or i > kept[-1][2]:
+                kept.append((name, i, best[1], best[0]))
+            elif best[0] > kept[-1][3]:
+                kept[-1] = (name, i, best[1], best[0])
+        out += kept
     return out
 
 
+def scanned(df, **settings):
+    return {r.i: [(m["name"], m["first"], m["last"], m["dice"]) for m in r.licences] for r in licences.scan(df, **settings).collect()}
+
+
 def test_licences_equal_all_comparisons(spark):
     rng = random.Random(4)
-    texts = [None, "", "\n\n", "mit", "Released under the MIT License", "x " * 30_000 + "\nReleased under the MIT license!"]
-    for _ in range(150):
-        words = rng.choice(list(licences.TEMPLATES.values())).split()
-        for _ in range(rng.randint(0, 3)):
-            words[rng.randrange(len(words))] = rng.choice(["the", "THE", "of", ""])
-        texts.append("\n".join(["Some prose here.", " ".join(words), "more."][: rng.randint(1, 3)]))
-    df = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "i long, text string, extra string")
-    got = {r.i: [(m["line"], m["name"], round(m["dice"], 9)) for m in r.licences] for r in licences.scan(df).collect()}
-    assert got == {i: plain_scan(t) for i, t in enumerate(texts)}
-    assert licences.scan(df.limit(0)).count() == 0
+    texts = [None, "", "\n\n", "mit", "Released under the MIT License", "x " * 30_000 + "\nReleased under the MIT license!", "of the " * 300]
+    short = [t for t in licences.TEMPLATES.values() if len(t) < 100]
+    for k in range(90):
+        parts = []
+        for _ in range(rng.choice([1, 1, 2, 4])):
+            words = rng.choice(short if k % 9 else list(licences.TEMPLATES.values())).split()
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(["the", "THE", "of", ""])
+            parts += [rng.choice(["", "Some prose here, of the License.", "more \u212a."]), rng.choice([" ", "\n * "]).join(words)]
+        texts.append("\n".join(parts))
+    df = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "i long, text string, licences string")
+    assert scanned(df) == {i: plain_scan(t) for i, t in enumerate(texts)}
+    assert licences.scan(df.limit(0)).count() == 0 and licences.scan(df).columns == df.columns
+
+
+def test_licences_with_repeated_bigrams(spark):
+    rng = random.Random(8)
+    templates = {"t": "a b a b a b c", "u": "a a a a", "none": "word", "v": "c a b c a b"}
+    texts = [" ".join(rng.choice("aabbcd") for _ in range(rng.randint(2, 40))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    known = {n: t for n, t in templates.items() if n != "none"}
+    assert scanned(df, templates=templates) == {i: plain_scan(t, known) for i, t in enumerate(texts)}
+    assert set(map(len, scanned(df, templates={"none": "word"}).values())) == {0}
+
+
+def test_licences_in_sentences_wrapped_and_whole(spark):
+    grant = licences.TEMPLATES["mit-grant"]
+    texts = [
+        "This project is released under the MIT License, see LICENSE.",
+        "# Use of this source code is governed\n# by a BSD-style license.",
+        "Copyright 2020 A. Body\n\n" + grant,
+        "// " + licences.TEMPLATES["apache-2.0-header"].replace("\n", "\n// "),
+        licences.TEMPLATES["mit-text"],
+        "The licence of the software is not told here, and the rights to use are those of the people.",
+    ]
+    found = scanned(spark.createDataFrame(list(enumerate(texts)), "i long, text string"))
+    assert [sorted(m[0] for m in found[i]) for i in range(6)] == [
+        ["mit"], ["bsd-3-clause"], ["mit-grant"], ["apache-2.0", "apache-2.0-header"], ["mit-grant", "mit-text"], [],
+    ]
 
 
 def test_licences_at_the_least_likeness_count(spark):
-    texts = ["Licensed under CC BY-NC", "Licensed under CC BY-NC 4.0. a b c"]  # 4 and 9 bigrams against 6
+    texts = ["Licensed under CC BY-NC", "Licensed under CC BY-NC x y z 4.0. a b c"]  # 4 of 4 and 5 of 9 bigrams against 6: 0.8 and less
     df = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
-    got = {r.i: [(m["line"], m["name"], m["dice"]) for m in r.licences] for r in licences.scan(df).collect()}
-    assert got == {i: [(0, "cc-by-nc-4.0", 0.8)] for i in range(2)} == {i: plain_scan(t) for i, t in enumerate(texts)}
+    assert scanned(df) == {0: [("cc-by-nc-4.0", 0, 4, 0.8)], 1: [("cc-by-nc-4.0", 0, 4, 0.8)]}
 
 
 def test_repeated_records_and_names_that_differ_in_case(spark):
