@@ -163,12 +163,16 @@ def scan(df: DataFrame, text: str = "text", templates: dict[str, str] | None = N
     if not known:
         return df.withColumn("licences", F.array().cast(type_))
     every = sorted(set().union(*known.values()))
+    lefts, rights = (sorted({g.split(" ")[k] for g in every}) for k in (0, 1))
     fewest = min(bounds(sum(c.values()), least)[0] for c in known.values())
     none = F.array().cast(type_)
 
     def places(words: Column) -> Column:
         gram = lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))
-        inside = F.filter(F.sequence(F.lit(0), F.size(words) - 2), lambda i: gram(i).isin(every))
+        inside = F.filter(  # most places fail at one of the words, which costs less than to join them
+            F.sequence(F.lit(0), F.size(words) - 2),
+            lambda i: F.get(words, i).isin(lefts) & F.get(words, i + 1).isin(rights) & gram(i).isin(every),
+        )
         return F.transform(inside, lambda i: F.struct(i.alias("p"), gram(i).alias("g")))
 
     def named(name: str, counts: Counter, hits: Column) -> Column:
