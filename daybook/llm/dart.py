@@ -41,9 +41,12 @@ WORDS = 5
 LEAST = 0.8
 BANDS = 64
 ROWS = 8
+CENTRES = 16  # of a bucket in the first round by rarest units; each later round has as many times more
 
 _SIZE_CLASS = 1.05  # sizes of a class differ by less than this factor
 _SLACK = 1e-6  # of places and sizes, so that no tie at the least similarity is lost to rounding
+_DARTS = 1 << 18  # cells that are looked at together
+_SLICE = 1 << 18  # bytes of text that are
 _FIRST_CELL = 8  # the lowest cell of ranks is [0, 2 ** -8); each next one doubles the end
 _STEP = np.uint64(0xA0761D6478BD642F)
 
@@ -99,8 +102,8 @@ def signatures(units: np.ndarray, row: np.ndarray, n: int, k: int, part: np.ndar
         width /= pieces
         inside = np.flatnonzero(open_[row])
         cdf = _poisson(width)
-        for lo in range(0, len(inside), max(1, (1 << 20) // pieces)):
-            who = np.repeat(inside[lo : lo + max(1, (1 << 20) // pieces)], pieces)
+        for lo in range(0, len(inside), max(1, _DARTS // pieces)):
+            who = np.repeat(inside[lo : lo + max(1, _DARTS // pieces)], pieces)
             piece = np.tile(np.arange(pieces), len(who) // pieces)
             name = mix(units[who] ^ mix((np.uint64(cell) << np.uint64(32)) + piece.astype(np.uint64) + np.uint64(1)))
             darts = np.searchsorted(cdf, (name >> np.uint64(11)).astype(np.float64) * 2.0**-53, side="right")
@@ -143,7 +146,7 @@ def with_bands(df: DataFrame, text: str = "text", words: int = WORDS, bands: int
         some = np.bincount(row, minlength=len(column)) > 0
         return {"bands": lists(hashes[some].ravel().view(np.int64), some * bands)}
 
-    return over_texts(df, text, {"bands": T.ArrayType(T.LongType())}, work)
+    return over_texts(df, text, {"bands": T.ArrayType(T.LongType())}, work, _SLICE)
 
 
 def with_units(df: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
@@ -153,7 +156,7 @@ def with_units(df: DataFrame, text: str = "text", words: int = WORDS) -> DataFra
         units, row = elements(column, words)
         return {"units": lists(units.view(np.int64), np.bincount(row, minlength=len(column)))}
 
-    return over_texts(df, text, {"units": T.ArrayType(T.LongType())}, work)
+    return over_texts(df, text, {"units": T.ArrayType(T.LongType())}, work, _SLICE)
 
 
 def prefix_buckets(sets: DataFrame, least: float) -> DataFrame:
@@ -224,16 +227,33 @@ def _links(members: DataFrame, sets: DataFrame, least: float) -> tuple[DataFrame
         pairs = staged(pairs.select("a", "b", (both / (F.size("_a") + F.size("_b") - both)).alias("similarity")), "pairs")
         judged = pairs if judged is None else judged.unionByName(pairs)
         found = pairs.where(F.col("similarity") >= least)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        if labels is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = extended(labels, found)
         # Centres have met all of their bucket that is not of their class.
         active = active.join(centres.select("bucket", F.col("centre").alias("key")), ["bucket", "key"], "left_anti")
         active = active.select("bucket", "key", "owner")
         if by_bands:  # members of bands that the centres have not told apart meet by their rarest units from now on
             apart = _mixed(active, labels).select("key").distinct()
             active, by_bands = staged(prefix_buckets(sets.join(apart, "key", "left_semi"), least), "prefixes"), False
+            centres_each = CENTRES
         else:
-            centres_each *= 8
+            centres_each *= CENTRES
+
+
+def extended(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The components `labels` after more `links`: only the labels that these link are worked on."""
+    if labels is None:
+        return components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    own = ends.join(labels, "key", "left_anti").select("key", F.col("key").alias("label"))
+    labels = staged(labels.unionByName(own), "labels")
+    between = links.select("a", "b")
+    for end in ("a", "b"):
+        between = between.join(labels.select(F.col("key").alias(end), F.col("label").alias(f"_{end}")), end)
+    between = between.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b")
+    joined = components(between).select(F.col("key").alias("label"), F.col("label").alias("_label"))
+    return staged(labels.join(joined, "label", "left").select("key", F.coalesce("_label", "label").alias("label")), "labels")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -149,6 +149,40 @@ def test_family_below_the_threshold(spark, monkeypatch):
     assert sum(t.count() for name, t in written if name == "pairs") < 1000  # all of them: 7,140
 
 
+def test_later_rounds_do_not_pass_over_earlier_links(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    common, rows = [word() for _ in range(146)], []
+    for i in range(90):  # near copies of one text, and others of it that are near to none
+        copy = list(common)
+        for _ in range(i % 9):
+            copy[rng.randrange(146)] = word()
+        rows.append((i, " ".join(copy)))
+    df = spark.createDataFrame([(k, t, "own") for k, t in rows], DOC)
+    passed, inner = [], dart.components
+    monkeypatch.setattr(dart, "components", lambda links: passed.append(links.count()) or inner(links))
+    found, links = dart.classes(df)
+    want = plain_classes(rows)
+    assert {r.doc_id: r.class_id for r in found.collect()} == {k: want[i] for i, (k, _) in enumerate(rows)}
+    assert 1 < len(set(want.values())) < 90
+    assert sum(passed) <= links.count()
+
+
+def test_components_extended_by_links(spark):
+    rng = random.Random(4)
+    batches = [[(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (15, 1, 12, 12)]
+    labels, all_ = None, []
+    for batch in batches:
+        all_ += [(min(p), max(p)) for p in batch]
+        labels = dart.extended(labels, spark.createDataFrame([(min(p), max(p)) for p in batch], "a long, b long"))
+        want = {k: k for p in all_ for k in p}
+        for _ in want:
+            for a, b in all_:
+                want[a] = want[b] = min(want[a], want[b])
+        got = labels.collect()
+        assert len(got) == len(want) and {r.key: r.label for r in got} == want
+
+
 def test_no_copies_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b c d e f g", "x"), (2, None, "x")], DOC)
     found, links = dart.classes(df)
