@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -248,3 +249,19 @@ def test_edits_and_neighbours(spark):
     odd = spark.createDataFrame([(None, "a b c"), (1, "d e"), (1, "d e"), (1, "f")], "doc_id long, text string")
     assert sorted(str(r.doc_id) for r in order_minhash.compare_edits(odd).collect()) == ["1", "1", "1", "None"]
     assert order_minhash.compare_edits(df.limit(0)).count() == 0
+
+
+def test_fingerprints_are_not_dealt_again_by_digest(spark, monkeypatch):
+    plans, keep = [], order_minhash.staged
+    monkeypatch.setattr(order_minhash, "staged", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, name))
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(None, "a b c"), (None, "a b"), (1, "d e"), (1, "d e"), (1, None), (2, "f")], "doc_id long, text string")
+        got = order_minhash.compare_edits(df).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(got) == 6 and "SortMergeJoin [_id#" in plans[-1]
+    assert re.search(r"hashpartitioning\(_id#\d+L, _digest", plans[-1]) is None
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
