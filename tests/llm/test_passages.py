@@ -197,3 +197,26 @@ def test_union_of_intervals():
         covered = {x for a, b in pairs for x in range(a, b)}
         starts, ends = suffix.union(*np.array(pairs).T)
         assert {x for a, b in zip(starts, ends) for x in range(a, b)} == covered and (starts[1:] > ends[:-1]).all()
+
+
+def test_shards_are_small(monkeypatch):
+    rng = random.Random(8)
+    lines = [bytes(rng.randrange(97, 123) for _ in range(900)) for _ in range(600)]
+    pieces = [(k // 2, k, lines[k // 2] if k % 2 else b"<%d>" % k + lines[k // 2]) for k in range(1200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*pieces)], names=["anchor", "digest", "piece"])
+    sizes, inner = [], suffix.suffix_array
+    monkeypatch.setattr(suffix, "suffix_array", lambda s: sizes.append(len(s)) or inner(s))
+    found = pa.Table.from_batches(suffix._shards(400, suffix.SHARD_BYTES)(iter([batch])))
+    assert max(sizes) < 1 << 18 and sum(sizes) > 1 << 20
+    want = [(k // 2, k, (len(b"<%d>" % k), len(b"<%d>" % k) + 501) if k % 2 == 0 else (0, 501)) for k in range(1200)]
+    assert sorted((r["anchor"], r["digest"], (r["from"], r["to"])) for r in found.to_pylist()) == want
+
+
+def test_runs_of_word_codes_take_one_python_worker_each(spark, monkeypatch):
+    plans, keep = {}, suffix.staged
+    monkeypatch.setattr(suffix, "staged", lambda df, name: plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, name))
+    words = [f"w{k}" for k in range(60)]
+    df = spark.createDataFrame([(1, "a " + " ".join(words) + " b"), (2, "c " + " ".join(words) + " d"), (3, None), (4, "own")], "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in suffix.remove_repeats(df, as_text=True, words=51).collect()}
+    assert got == {1: "a  b", 2: "c  d", 3: "", 4: "own"}
+    assert len(plans["runs"]) >= 2 and all(p.count("MapInArrow") == 1 for p in plans["runs"])
